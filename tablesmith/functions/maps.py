@@ -7,22 +7,21 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, functions as F
 
 
-def replace_values(column: Column, rules: Mapping[str, Iterable[str]]) -> Column:
-    """Many-to-one replacement ``{new: [old, ...]}`` in one pass; other values stay."""
-    chain = None
-    for new, old in rules.items():
-        test = column.isin(*old)
-        chain = F.when(test, F.lit(new)) if chain is None else chain.when(test, F.lit(new))
-    return column if chain is None else chain.otherwise(column)
+def lookup(column: Column, mapping: Mapping) -> Column:
+    """Mapped value, null where the key is unknown.
 
+    A literal map is folded once per plan and the column is evaluated once per row; keys
+    are compared as text so that int and long columns take the same dict.
+    """
+    if not mapping:
+        return F.lit(None)
+    entries = [x for key, value in mapping.items() for x in (F.lit(key).cast("string"), F.lit(value))]
+    return F.try_element_at(F.create_map(*entries), column.cast("string"))
 
-def lookup(column: Column, mapping: Mapping) -> Column:
-    """Mapped value, null where the key is unknown."""
-    chain = None
-    for key, value in mapping.items():
-        chain = (F.when(column == F.lit(key), F.lit(value)) if chain is None
-                 else chain.when(column == F.lit(key), F.lit(value)))
-    return F.lit(None) if chain is None else chain
+
+def replace_values(column: Column, rules: Mapping[str, Iterable[str]]) -> Column:
+    """Many-to-one replacement ``{new: [old, ...]}`` in one pass; other values stay."""
+    return F.coalesce(lookup(column, {old: new for new, olds in rules.items() for old in olds}), column)
 
 
 def ordinal_or_null(column: Column, mapping: Mapping[str, int], default: int | None = None) -> Column:

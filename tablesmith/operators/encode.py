@@ -3,26 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from tablesmith.functions.maps import lookup
 from tablesmith.operators.fitted import constant, learn
 from tablesmith.operators.ordering import positions
 from tablesmith.operators.relational import attach, group_sizes
 
 # One column per level: more levels than this is not a table any more, and is an error.
 MAX_LEVELS = 1000
+# Codes of at most this many levels travel as literals; more are joined.
+LITERAL_LEVELS = 64
 
 
-def label_codes(df: DataFrame, column: str, output: str, key: str, by: Sequence[str] = ("split",)) -> DataFrame:
+def label_codes(df: DataFrame, column: str, output: str, key: str, by: Sequence[str] = ("split",),
+                literal_limit: int = LITERAL_LEVELS) -> DataFrame:
     """Rank of each value among the sorted distinct values of its split, from 0.
 
-    Only distinct values are ranked (range-partitioned), then attached to the rows.
+    Up to ``literal_limit`` levels the codes come back as a literal map and rows are coded
+    in place. Beyond it the distinct values are ranked range-partitioned and attached.
     """
     keys = [*by, column]
-    levels = positions(group_sizes(df, keys, "_size"), by, [column], "_code", "_levels").drop("_levels")
-    return (attach(df, levels, keys, "_size", [key])
+    sizes = group_sizes(df, keys, "_size")
+    few = sizes.select(*keys).limit(literal_limit + 1).collect()
+    if len(few) <= literal_limit:
+        ranked: dict[tuple, list] = {}
+        for row in few:
+            ranked.setdefault(tuple(row[:-1]), []).append(row[-1])
+        chain = F.lit(None).cast("int")
+        for group, values in ranked.items():
+            code = lookup(F.col(column), {v: i for i, v in enumerate(sorted(values))}).cast("int")
+            here = reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in zip(by, group)], F.lit(True))
+            chain = F.when(here, code).otherwise(chain)
+        return df.withColumn(output, chain)
+    ranks = positions(sizes, by, [column], "_code", "_levels").drop("_levels")
+    return (attach(df, ranks, keys, "_size", [key])
             .withColumn(output, F.col("_code").cast("int")).drop("_code"))
 
 

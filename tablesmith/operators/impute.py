@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablesmith.functions.numeric import to_half
 from tablesmith.functions.seeded import uniform_int
 from tablesmith.operators.fitted import constant, learn
-from tablesmith.operators.ordering import medians, modes
-from tablesmith.operators.relational import attach, group_sizes
+from tablesmith.operators.ordering import medians, modes, quantiles
+from tablesmith.operators.relational import attach
 
 
 def fill_constant(df: DataFrame, values: Mapping) -> DataFrame:
@@ -39,10 +39,9 @@ def fill_group_median(df: DataFrame, column: str, keys: Sequence[str], key: str,
     Add the split column to ``keys`` for a per-split fill. Rows with a null group key and
     groups without any value stay null. ``rounded`` moves the median to the nearest 0.5.
     """
-    middle = medians(df, keys, {"_median": column})
+    groups = quantiles(df, keys, {"_median": (column, 0.5)}, size="_size")
     if rounded:
-        middle = middle.withColumn("_median", to_half(F.col("_median")))
-    groups = middle.join(group_sizes(df, keys, "_size"), list(keys))
+        groups = groups.withColumn("_median", to_half(F.col("_median")))
     filled = F.coalesce(F.col(column).cast("double"), F.col("_median"))
     return attach(df, groups, keys, "_size", [key]).withColumn(column, filled).drop("_median")
 

@@ -73,9 +73,11 @@ def _large_quantiles(rows: DataFrame, keys, value, probs: Mapping[str, float]) -
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]],
-              distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
+              distinct_limit: int = DISTINCT_LIMIT, size: str | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group: ``{output: (column, q)}``.
 
+    ``size`` adds the row count of each group under that name.
+
     Nulls in values and rows with a null key are ignored. One sketch pass decides per
     column between the built-in aggregate and the range-partitioned form; both are exact.
     """
@@ -92,11 +94,12 @@ def quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str
     large = [c for c, s in slots.items() if (widest[s] or 0) > distinct_limit]
     small = [c for c in slots if c not in large]
     parts = []
-    if small:
-        arrays = rows.groupBy(*keys).agg(*[
+    count = [F.count(F.lit(1)).alias(size)] if size else []
+    if small or count:
+        arrays = rows.groupBy(*keys).agg(*count, *[
             F.percentile(slots[c], F.array(*map(F.lit, plan[c].values()))).alias(slots[c])
             for c in small])
-        parts.append(arrays.select(*keys, *[
+        parts.append(arrays.select(*keys, *[size for _ in count], *[
             F.col(slots[c])[i].alias(output) for c in small for i, output in enumerate(plan[c])]))
     for column in large:
         slot = slots[column]
@@ -106,9 +109,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str
         if keys:
             result = result.join(part, list(keys), "full")
         else:
-            names = [c for c in part.columns]
-            result = result.select("*", *[part.select(n).scalar().alias(n) for n in names])
-    return result.select(*keys, *wanted)
+            result = result.select("*", *[part.select(n).scalar().alias(n) for n in part.columns])
+    return result.select(*keys, *[size for _ in count], *wanted)
 
 
 def medians(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],

@@ -7,9 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablesmith.session import durable
+
 # A group is hot when it holds at least 1/HOT_SHARE of all rows, so there can be at most
 # HOT_SHARE hot groups however large the table is.
 HOT_SHARE = 1000
+# Look-up tables of at most this many bytes are broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def update_where(df: DataFrame, column: str, mask: Column, value) -> DataFrame:
@@ -60,26 +64,41 @@ def group_sizes(df: DataFrame, keys: Sequence[str], output: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(output))
 
 
-def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], size: str,
-           spread_by: Sequence[str]) -> DataFrame:
-    """Left-join per-group values to rows, with hot groups kept off the shuffle.
+def table_bytes(df: DataFrame) -> tuple[int, dict]:
+    """(row count, {column: total bytes}): text and arrays measured, other values taken as 16."""
+    def width(name: str, kind: str) -> Column:
+        if kind == "string":
+            return F.octet_length(name)
+        return F.size(name) * 16 if kind.startswith("array") else F.lit(16)
+
+    sizes = {n: F.coalesce(F.sum(width(n, t)), F.lit(0)) for n, t in df.dtypes}
+    row = df.agg(F.count(F.lit(1)).alias("_count"), *[e.alias(n) for n, e in sizes.items()]).first()
+    return row["_count"], {n: row[n] for n in df.columns}
+
 
-    ``groups`` has one row per key and its row count in ``size``. Groups with at least
-    1/HOT_SHARE of all rows number at most HOT_SHARE, so those are broadcast. The others
-    go through an ordinary equi-join (adaptive execution broadcasts them when small); rows
-    of hot groups carry a hash of ``spread_by`` as an extra key there, so they spread
-    evenly instead of meeting in one task. A row whose key is null matches nothing.
+def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, spread_by: Sequence[str],
+           broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Left-join per-group values to rows without letting a large group meet in one task.
+
+    ``groups`` has one row per key and its row count in ``size``. It is written once to the
+    shared folder and measured. Up to ``broadcast_bytes`` it is broadcast and the rows stay
+    where they are. A larger one is cut in two: groups holding at least 1/HOT_SHARE of all
+    rows, of which there can be no more than HOT_SHARE, are broadcast; the others go through
+    an equi-join, where rows of hot groups and rows with a null key carry a hash of
+    ``spread_by`` as an extra key, so they match nothing and spread evenly.
     """
     values = [c for c in groups.columns if c not in keys and c != size]
-    everything = groups.agg(F.sum(size).alias("n")).scalar()
-    is_hot = F.col(size) * HOT_SHARE >= everything
-    hot = groups.where(is_hot).select(
-        *keys, F.struct(*values).alias("_hot"))
+    groups = durable(groups)
+    n_groups, n_bytes = table_bytes(groups)
+    if sum(n_bytes.values()) <= broadcast_bytes:
+        return df.join(F.broadcast(groups.drop(size)), list(keys), "left").select(*df.columns, *values)
+    n_rows = groups.agg(F.sum(size)).first()[0]
+    is_hot = F.col(size) * HOT_SHARE >= F.lit(n_rows)
+    hot = groups.where(is_hot).select(*keys, F.struct(*values).alias("_hot"))
     cold = groups.where(~is_hot).select(
         *keys, F.lit(0).cast("long").alias("_spread"), F.struct(*values).alias("_cold"))
-    spread = F.when(F.col("_hot").isNotNull() | reduce(
-        lambda a, b: a | b, [F.col(k).isNull() for k in keys]),
-        F.xxhash64(*spread_by).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
+    apart = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
+    spread = F.when(apart, F.xxhash64(*spread_by).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
     return (df.join(F.broadcast(hot), list(keys), "left")
             .withColumn("_spread", spread)
             .join(cold, [*keys, "_spread"], "left")
@@ -87,7 +106,12 @@ def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], size: str,
             .select(*df.columns, *[F.col("_found")[v].alias(v) for v in values]))
 
 
-def attach_group_count(df: DataFrame, keys: Sequence[str], output: str, key: str) -> DataFrame:
-    """Group size on every row (null for a null group key)."""
-    sizes = group_sizes(df, keys, "_size").withColumn(output, F.col("_size"))
+def attach_group_count(df: DataFrame, keys: Sequence[str], output: str, key: str,
+                       source: DataFrame | None = None) -> DataFrame:
+    """Group size on every row (null for a null group key).
+
+    ``source`` counts another table with the same keys, e.g. the raw input of a long plan.
+    """
+    rows = df if source is None else source
+    sizes = group_sizes(rows, keys, "_size").withColumn(output, F.col("_size"))
     return attach(df, sizes, keys, "_size", [key])

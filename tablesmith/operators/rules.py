@@ -41,7 +41,8 @@ def population_fitness(df: DataFrame, candidates: Sequence, label: str) -> DataF
 
     Candidates are nested tuples over columns and constants; each becomes one aggregate.
     """
-    hits = [F.avg((reversed_logistic(expression(c)) == F.col(label)).cast("double")) for c in candidates]
+    hits = [F.avg(F.coalesce((reversed_logistic(expression(c)) == F.col(label)).cast("double"), F.lit(0.0)))
+            for c in candidates]
     return df.agg(F.array(*hits).alias("all")).select(
         F.posexplode("all").alias("candidate", "fitness"))
 
