@@ -19,8 +19,8 @@ from tablesmith.models.base import width_of
 from tablesmith.operators.relational import attach
 from tablesmith.session import durable
 
-# The first grid is refined until no cell holds more distinct training vectors than this.
-CELL_LIMIT = 2_000
+# The first grid is the coarsest whose fullest cell holds at most this many distinct vectors.
+CELL_LIMIT = 500
 
 
 def _top(df: DataFrame, by: str, order: list, k: int) -> DataFrame:
@@ -30,8 +30,8 @@ def _top(df: DataFrame, by: str, order: list, k: int) -> DataFrame:
 
 
 class NearestNeighbours:
-    def __init__(self, k: int = 5, weights: str = "uniform", key: str = "id"):
-        self.k, self.weights, self.key = k, weights, key
+    def __init__(self, k: int = 5, weights: str = "uniform", key: str = "id", cell_limit: int = CELL_LIMIT):
+        self.k, self.weights, self.key, self.cell_limit = k, weights, key, cell_limit
 
     def fit(self, df: DataFrame) -> _Neighbours:
         width = width_of(df)
@@ -46,18 +46,19 @@ class NearestNeighbours:
         axes = sorted(range(width), key=lambda i: -(spread[f"sd{i}"] or 0.0))[:2]
         low = [spread[f"lo{i}"] for i in axes]
         span = max(spread[f"hi{i}"] - spread[f"lo{i}"] for i in axes)
-        size = (span or 1.0) / max(1.0, math.sqrt(spread.n / self.k))
-        model = _Neighbours(self, points, axes, low, span)
-        while size > (span or 1.0) * 1e-9 and model.fullest_cell(size) > CELL_LIMIT:
-            size /= 4.0
-        model.size = size
+        model = _Neighbours(self, points, axes, low, span or 1.0)
+        if spread.n > self.cell_limit:
+            # halving at least until an even spread would fit; skew may need more
+            model.size /= 2.0 ** max(0, math.floor(math.log2(math.sqrt(spread.n / self.cell_limit))))
+            while model.size > model.span * 1e-9 and model.fullest_cell(model.size) > self.cell_limit:
+                model.size /= 2.0
         return model
 
 
 class _Neighbours:
     def __init__(self, owner: NearestNeighbours, points: DataFrame, axes, low, span):
         self.k, self.weights, self.key = owner.k, owner.weights, owner.key
-        self.points, self.axes, self.low, self.span, self.size = points, axes, low, span, 1.0
+        self.points, self.axes, self.low, self.span, self.size = points, axes, low, span, span
 
     def _cell(self, size: float) -> list[Column]:
         return [F.floor((F.col("_v")[a] - F.lit(lo)) / F.lit(size)) for a, lo in zip(self.axes, self.low)]
@@ -80,7 +81,8 @@ class _Neighbours:
         near = (around.join(placed, cells)
                 .withColumn("_d", F.aggregate(gap, F.lit(0.0), lambda total, x: total + x)))
         if not last:
-            near = near.where(F.col("_d") <= size * size)
+            # a hair inside one cell width, so rounding cannot reach past the neighbouring cells
+            near = near.where(F.col("_d") <= (size * (1 - 1e-9)) ** 2)
         near = near.select("_v", "_d", F.inline("_members"))
         return (_top(near, "_v", ["_d", "_id"], self.k).groupBy("_v")
                 .agg(F.collect_list(F.struct("_d", "label")).alias("_near")))

@@ -46,8 +46,14 @@ def correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
     One aggregate computes all pairs; the result is the full symmetric long matrix.
     """
     both = [(a, b) for a, b in combinations(names, 2)]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                    for a, b in both],
+
+    def pearson(a: str, b: str) -> Column:
+        # null instead of an error where one side does not vary
+        x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
+        y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    wide = df.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in both],
                   *[F.when(F.stddev_samp(a) > 0, F.lit(1.0)).alias(f"{a}|{a}") for a in names])
     cells = F.array(*[
         F.struct(F.lit(x).alias("feature_1"), F.lit(y).alias("feature_2"),
