@@ -13,7 +13,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Columns a Spark ML model adds besides the prediction.
 SCRATCH = ("rawPrediction", "probability", "prediction", "p1")
@@ -55,8 +55,9 @@ def side_by_side_fits(jobs: Iterable[Callable], parallelism: int = 4) -> list:
     jobs = list(jobs)
     if len(jobs) <= 1 or parallelism <= 1:
         return [job() for job in jobs]
+    session = SparkSession.getActiveSession()
     with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(lambda job: job()), jobs)
+        return pool.map(inheritable_thread_target(session)(lambda job: job()), jobs)
 
 
 def score(model, df: DataFrame) -> float:

@@ -162,7 +162,7 @@ def model_logistic(spark, sf):
 
 @query("model_logistic_cv")
 def model_logistic_cv(spark, sf):
-    return fitted(spark, sf, linear.LogisticCV(max_iter=25))
+    return fitted(spark, sf, linear.LogisticCV(Cs=(0.01, 1.0, 100.0), k=3, max_iter=25))
 
 
 @query("model_linear_svc")
