@@ -4,8 +4,8 @@ Equal vectors are collapsed first: of the rows that share one vector only the k
 ids can ever be neighbours, and equal queries have equal answers. Distinct vectors fall
 into cells of a grid over the two widest-spread features. A query looks at its own cell and
 the eight around it, which hold every point within one cell width; if k of them lie within
-that width the answer is final. Queries that found too few go on with cells twice as wide,
-until the cells span the data. No pair outside neighbouring cells is ever formed.
+that width the answer is final. Queries that found too few go on with wider cells, until
+the cells span the data. No pair outside neighbouring cells is ever formed.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from tablesmith.operators.relational import attach
 from tablesmith.session import durable
 
 # The first grid is the coarsest whose fullest cell holds at most this many distinct vectors.
-CELL_LIMIT = 500
+CELL_LIMIT = 128
 
 
 def _top(df: DataFrame, by: str, order: list, k: int) -> DataFrame:
@@ -46,7 +46,7 @@ class NearestNeighbours:
         axes = sorted(range(width), key=lambda i: -(spread[f"sd{i}"] or 0.0))[:2]
         low = [spread[f"lo{i}"] for i in axes]
         span = max(spread[f"hi{i}"] - spread[f"lo{i}"] for i in axes)
-        model = _Neighbours(self, points, axes, low, span or 1.0)
+        model = _Neighbours(self, points, width, axes, low, span or 1.0)
         if spread.n > self.cell_limit:
             # halving at least until an even spread would fit; skew may need more
             model.size /= 2.0 ** max(0, math.floor(math.log2(math.sqrt(spread.n / self.cell_limit))))
@@ -56,8 +56,9 @@ class NearestNeighbours:
 
 
 class _Neighbours:
-    def __init__(self, owner: NearestNeighbours, points: DataFrame, axes, low, span):
+    def __init__(self, owner: NearestNeighbours, points: DataFrame, width, axes, low, span):
         self.k, self.weights, self.key = owner.k, owner.weights, owner.key
+        self.width = width
         self.points, self.axes, self.low, self.span, self.size = points, axes, low, span, span
 
     def _cell(self, size: float) -> list[Column]:
@@ -77,9 +78,10 @@ class _Neighbours:
             around = around.withColumns({c: F.least(F.greatest(F.col(c), F.lit(0).cast("long")), edge) for c in cells})
         for c in cells:
             around = around.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
-        gap = F.zip_with("_v", "_p", lambda a, b: (a - b) * (a - b))
-        near = (around.join(placed, cells)
-                .withColumn("_d", F.aggregate(gap, F.lit(0.0), lambda total, x: total + x)))
+        gap = F.lit(0.0)
+        for i in range(self.width):
+            gap = gap + (F.col("_v")[i] - F.col("_p")[i]) * (F.col("_v")[i] - F.col("_p")[i])
+        near = around.join(placed, cells).withColumn("_d", gap)
         if not last:
             # a hair inside one cell width, so rounding cannot reach past the neighbouring cells
             near = near.where(F.col("_d") <= (size * (1 - 1e-9)) ** 2)
@@ -91,6 +93,7 @@ class _Neighbours:
         rows = df.withColumn("_v", vector_to_array("features"))
         sizes = durable(rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_rows")))
         waiting, done, size = sizes.select("_v"), [], self.size
+        n_all = waiting.count()
         while True:
             last = size >= self.span
             found = durable(self._round(waiting, size, last))
@@ -99,9 +102,11 @@ class _Neighbours:
             if last:
                 break
             waiting = durable(waiting.join(final.select("_v"), "_v", "left_anti"))
-            if waiting.isEmpty():
+            n_waiting = waiting.count()
+            if not n_waiting:
                 break
-            size *= 2.0
+            # wider cells for fewer queries: each round forms about as many pairs as the first
+            size *= max(2.0, math.sqrt(n_all / n_waiting))
         answers = done[0]
         for part in done[1:]:
             answers = answers.unionByName(part)

@@ -19,41 +19,66 @@ MAX_LEVELS = 1000
 LITERAL_LEVELS = 64
 
 
-def label_codes(df: DataFrame, column: str, output: str, key: str, by: Sequence[str] = ("split",),
+def _level_rows(df: DataFrame, names: Sequence[str], by: Sequence[str], cap: int) -> dict | None:
+    """{column: {by values: sorted levels}} from one scan, or None above ``cap`` in total."""
+    kinds = dict(df.select(*names).dtypes)
+    rows = df.select(*by, *[F.col(n).cast("string").alias(n) for n in names])
+    for key in by:
+        rows = rows.where(F.col(key).isNotNull())
+    pairs = (rows.unpivot(list(by), list(names), "_column", "_value").where(F.col("_value").isNotNull())
+             .groupBy(*by, "_column", "_value").agg(F.count(F.lit(1)).alias("_n")).drop("_n"))
+    found = pairs.limit(cap + 1).collect()
+    if len(found) > cap:
+        return None
+
+    def typed(name: str, value: str):
+        if kinds[name] in ("tinyint", "smallint", "int", "bigint"):
+            return int(value)
+        return float(value) if kinds[name] in ("float", "double") else value
+
+    result: dict[str, dict[tuple, list]] = {n: {} for n in names}
+    for *group, name, value in found:
+        result[name].setdefault(tuple(group), []).append(typed(name, value))
+    return {n: {g: sorted(values) for g, values in groups.items()} for n, groups in result.items()}
+
+
+def label_codes(df: DataFrame, outputs: Mapping[str, str], key: str, by: Sequence[str] = ("split",),
                 literal_limit: int = LITERAL_LEVELS) -> DataFrame:
-    """Rank of each value among the sorted distinct values of its split, from 0.
+    """``{column: output}``: rank of a value among the sorted distinct values of its split, from 0.
 
-    Up to ``literal_limit`` levels the codes come back as a literal map and rows are coded
-    in place. Beyond it the distinct values are ranked range-partitioned and attached.
+    Up to ``literal_limit`` levels per column, all codes come back from one scan as literal
+    maps and rows are coded in place. Beyond it a column's distinct values are ranked
+    range-partitioned and attached.
     """
-    keys = [*by, column]
-    sizes = group_sizes(df, keys, "_size")
-    few = sizes.select(*keys).limit(literal_limit + 1).collect()
-    if len(few) <= literal_limit:
-        ranked: dict[tuple, list] = {}
-        for row in few:
-            ranked.setdefault(tuple(row[:-1]), []).append(row[-1])
+    known = _level_rows(df, list(outputs), by, literal_limit * len(outputs))
+    if known is None:
+        for column, output in outputs.items():
+            df = _wide_label_codes(df, column, output, key, by)
+        return df
+    columns = {}
+    for column, output in outputs.items():
         chain = F.lit(None).cast("int")
-        for group, values in ranked.items():
-            code = lookup(F.col(column), {v: i for i, v in enumerate(sorted(values))}).cast("int")
-            here = reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in zip(by, group)], F.lit(True))
-            chain = F.when(here, code).otherwise(chain)
-        return df.withColumn(output, chain)
-    ranks = positions(sizes, by, [column], "_code", "_levels").drop("_levels")
+        for group, values in known[column].items():
+            here = [F.col(k) == F.lit(v) for k, v in zip(by, group)]
+            code = lookup(F.col(column), {v: i for i, v in enumerate(values)}).cast("int")
+            chain = F.when(reduce(lambda a, b: a & b, here, F.lit(True)), code).otherwise(chain)
+        columns[output] = chain
+    return df.withColumns(columns)
+
+
+def _wide_label_codes(df: DataFrame, column: str, output: str, key: str, by: Sequence[str]) -> DataFrame:
+    keys = [*by, column]
+    ranks = positions(group_sizes(df, keys, "_size"), by, [column], "_code", "_levels").drop("_levels")
     return (attach(df, ranks, keys, "_size", [key])
             .withColumn(output, F.col("_code").cast("int")).drop("_code"))
 
 
 def levels(df: DataFrame, names: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
     """Sorted distinct non-null values of each column, over all rows given."""
-    found = {}
-    for name in names:
-        rows = (df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
-                .select(name).limit(max_levels + 1).collect())
-        if len(rows) > max_levels:
-            raise ValueError(f"{name} has more than {max_levels} levels")
-        found[name] = sorted(r[0] for r in rows)
-    return found
+    known = _level_rows(df, names, (), max_levels)
+    if known is None:
+        raise ValueError(f"{list(names)} have more than {max_levels} levels")
+    return {n: groups.get((), []) for n, groups in known.items()}
 
 
 def dummies(df: DataFrame, names: Sequence[str], known: Mapping[str, list] | None = None,

@@ -9,6 +9,7 @@ partitions are stitched together with one offset per partition and key.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -16,7 +17,7 @@ from tablesmith.session import durable
 
 # The built-in exact percentile keeps one map entry per distinct value of a group. Up to
 # this many entries it is used; beyond it the range-partitioned form takes over.
-DISTINCT_LIMIT = 200_000
+DISTINCT_LIMIT = 500_000
 
 
 def cumulative(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str,
@@ -54,63 +55,66 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                        position, total).drop("_one"))
 
 
-def _large_quantiles(rows: DataFrame, keys, value, probs: Mapping[str, float]) -> DataFrame:
-    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    spread = cumulative(counts, keys, [value], "_n", "_before", "_total")
+def _rank_pick(spread: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles out of distinct values with counts and cumulative counts."""
     outputs = []
-    for name, q in probs.items():
-        rank = (F.col("_total") - 1) * F.lit(float(q))
+    for i, q in enumerate(probs):
+        rank = (F.col("_total") - 1) * F.lit(q)
         low, high = F.floor(rank), F.ceil(rank)
 
         def covers(p):
             return (F.col("_before") <= p) & (p < F.col("_before") + F.col("_n"))
 
-        left = F.max(F.when(covers(low), F.col(value)))
-        right = F.max(F.when(covers(high), F.col(value)))
-        part = F.max(rank - low)
-        outputs.append((left + (right - left) * part).alias(name))
-    return spread.groupBy(*keys).agg(*outputs)
+        left = F.max(F.when(covers(low), F.col("_v")))
+        right = F.max(F.when(covers(high), F.col("_v")))
+        outputs.append((left + (right - left) * F.max(rank - low)).alias(f"_q{i}"))
+    return spread.groupBy(*keys).agg(F.array(*outputs).alias("_q"))
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]],
               distinct_limit: int = DISTINCT_LIMIT, size: str | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group: ``{output: (column, q)}``.
 
-    ``size`` adds the row count of each group under that name.
+    ``size`` adds the row count of each group under that name. Nulls in values and rows
+    with a null key are ignored.
 
-    Nulls in values and rows with a null key are ignored. One sketch pass decides per
-    column between the built-in aggregate and the range-partitioned form; both are exact.
+    Rows collapse to distinct values with counts first, combined on the map side, so that
+    neither a task nor a shuffle sees repeated values. One sketch pass then decides per
+    column: groups of few distinct values go to the built-in weighted percentile, others
+    are range-partitioned by value. Both are exact.
     """
-    plan: dict[str, dict[str, float]] = {}
-    for output, (column, q) in wanted.items():
-        plan.setdefault(column, {})[output] = float(q)
-    slots = {column: f"_v{i}" for i, column in enumerate(plan)}
+    slots = {column: f"_v{i}" for i, column in enumerate(dict.fromkeys(c for c, _ in wanted.values()))}
+    probs = sorted({float(q) for _, q in wanted.values()})
     rows = df.select(*keys, *[F.col(c).cast("double").alias(s) for c, s in slots.items()])
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
     widest = (rows.groupBy(*keys)
               .agg(*[F.approx_count_distinct(s, 0.02).alias(s) for s in slots.values()])
               .agg(*[F.max(s).alias(s) for s in slots.values()]).first())
-    large = [c for c, s in slots.items() if (widest[s] or 0) > distinct_limit]
-    small = [c for c in slots if c not in large]
+    large = [s for s in slots.values() if (widest[s] or 0) > distinct_limit]
+    small = [s for s in slots.values() if s not in large]
+    named = [*keys, "_c"]
+
+    def counts(chosen: Sequence[str]) -> DataFrame:
+        long = rows.select(*keys, *chosen).unpivot(list(keys), list(chosen), "_c", "_v")
+        return long.groupBy(*named, "_v").agg(F.count(F.lit(1)).alias("_n"))
+
     parts = []
-    count = [F.count(F.lit(1)).alias(size)] if size else []
-    if small or count:
-        arrays = rows.groupBy(*keys).agg(*count, *[
-            F.percentile(slots[c], F.array(*map(F.lit, plan[c].values()))).alias(slots[c])
-            for c in small])
-        parts.append(arrays.select(*keys, *[size for _ in count], *[
-            F.col(slots[c])[i].alias(output) for c in small for i, output in enumerate(plan[c])]))
-    for column in large:
-        slot = slots[column]
-        parts.append(_large_quantiles(rows.where(F.col(slot).isNotNull()), keys, slot, plan[column]))
-    result = parts[0]
-    for part in parts[1:]:
-        if keys:
-            result = result.join(part, list(keys), "full")
-        else:
-            result = result.select("*", *[part.select(n).scalar().alias(n) for n in part.columns])
-    return result.select(*keys, *[size for _ in count], *wanted)
+    if small:
+        exact = F.percentile("_v", F.array(*map(F.lit, probs)), F.col("_n"))
+        parts.append(counts(small).groupBy(*named).agg(exact.alias("_q"), F.sum("_n").alias("_rows")))
+    if large:
+        present = counts(large).where(F.col("_v").isNotNull())
+        parts.append(_rank_pick(cumulative(present, named, ["_v"], "_n", "_before", "_total"), named, probs))
+    long = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    counted = [F.max("_rows").alias(size)] if size and not large else []
+    result = long.groupBy(*keys).agg(*counted, *[
+        F.max(F.when(F.col("_c") == slots[c], F.col("_q")[probs.index(float(q))])).alias(output)
+        for output, (c, q) in wanted.items()])
+    if not size or counted:
+        return result
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size))
+    return sizes.join(result, list(keys), "left").select(*keys, size, *wanted)
 
 
 def medians(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],

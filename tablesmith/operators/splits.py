@@ -50,16 +50,18 @@ def _boundaries(df: DataFrame, key: str, seeds: Sequence[int], counts: Sequence[
         middle = c / n * MODULUS
         return max(0, int(middle - slack)), min(MODULUS, int(middle + slack) + 1)
 
+    # one hash column per seed, computed once per row and used by all its targets
+    hashed = df.select(F.col(key).alias("k"), *[scramble(F.col(key), s).alias(f"h{s}") for s in seeds])
     found, wide = {}, set()
     while targets:
         frame = {t: window(t[1], t in wide) for t in targets}
-        below = df.agg(*[F.count_if(scramble(F.col(key), s) < frame[(s, c)][0]).alias(f"b{i}")
-                         for i, (s, c) in enumerate(targets)]).first()
+        below = hashed.agg(*[F.count_if(F.col(f"h{s}") < frame[(s, c)][0]).alias(f"b{i}")
+                             for i, (s, c) in enumerate(targets)]).first()
         near = F.array(*[
-            F.when((scramble(F.col(key), s) >= frame[(s, c)][0]) & (scramble(F.col(key), s) < frame[(s, c)][1]),
-                   F.struct(F.lit(i).alias("t"), scramble(F.col(key), s).alias("h"), F.col(key).alias("k")))
+            F.when((F.col(f"h{s}") >= frame[(s, c)][0]) & (F.col(f"h{s}") < frame[(s, c)][1]),
+                   F.struct(F.lit(i).alias("t"), F.col(f"h{s}").alias("h")))
             for i, (s, c) in enumerate(targets)])
-        rows = (df.select(F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x")).select("x.*"))
+        rows = hashed.select("k", F.explode(F.array_compact(near)).alias("x")).select("k", "x.*")
         ranked = positions(rows, ["t"], ["h", "k"], "p", "_rows")
         wanted = F.element_at(F.array(*[F.lit(c - below[f"b{i}"]) for i, (s, c) in enumerate(targets)]),
                               F.col("t") + 1)
@@ -89,8 +91,8 @@ def shuffle_roles(df: DataFrame, key: str, draws: int, test_size: float, train_s
         if count <= 0:
             return F.lit(False)
         h, k = marks[(s, count)]
-        own = scramble(F.col(key), s)
-        return (own < h) | ((own == h) & (F.col(key) < k))
+        own = F.struct(scramble(F.col(key), s).alias("h"), F.col(key).alias("k"))
+        return own < F.struct(F.lit(h).cast("long").alias("h"), F.lit(k).cast(df.schema[key].dataType).alias("k"))
 
     return [F.when(under(s, n_test), "test").when(under(s, n_test + n_train), "train").otherwise("unused")
             for s in seeds]

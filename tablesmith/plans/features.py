@@ -120,10 +120,8 @@ def comparison(df: DataFrame, roles: Roles = Roles(), minimum: int = 10) -> Data
                                by=[r.split])
     out = out.withColumn("Title", F.when(F.col(r.split) == "train", F.col("Title"))
                          .otherwise(F.col("_full"))).drop("_full")
-    for column, code in ((r.sex, "Sex_Code"), (r.port, "Embarked_Code"), ("Title", "Title_Code"),
-                         ("AgeBin", "AgeBin_Code"), ("FareBin", "FareBin_Code")):
-        out = encode.label_codes(out, column, code, r.key, [r.split])
-    return out
+    return encode.label_codes(out, {r.sex: "Sex_Code", r.port: "Embarked_Code", "Title": "Title_Code",
+                                    "AgeBin": "AgeBin_Code", "FareBin": "FareBin_Code"}, r.key, [r.split])
 
 
 def munge(df: DataFrame, roles: Roles = Roles()) -> DataFrame:

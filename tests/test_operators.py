@@ -135,7 +135,7 @@ def test_quantile_bins(spark):
 def test_label_codes_per_split(spark, limit):
     df = spark.createDataFrame([(1, "train", "b"), (2, "train", "a"), (3, "test", "b"), (4, "train", None), (5, "train", "c")],
                                "id long, split string, v string")
-    got = {r.id: r.c for r in encode.label_codes(df, "v", "c", "id", literal_limit=limit).collect()}
+    got = {r.id: r.c for r in encode.label_codes(df, {"v": "c"}, "id", literal_limit=limit).collect()}
     assert got == {1: 1, 2: 0, 3: 0, 4: None, 5: 2}
 
 

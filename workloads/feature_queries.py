@@ -60,8 +60,7 @@ def code_sql(column: str, split: str = "split") -> str:
   {code_sql('pclass')} AS class_code FROM m""")
 def encode_label_codes(spark, sf):
     rows = manifest(spark, sf).select("id", "split", "sex", "port", "pclass")
-    for column, code in (("sex", "sex_code"), ("port", "port_code"), ("pclass", "class_code")):
-        rows = encode.label_codes(rows, column, code, "id", ["split"])
+    rows = encode.label_codes(rows, {"sex": "sex_code", "port": "port_code", "pclass": "class_code"}, "id", ["split"])
     return rows.select("id", "sex_code", "port_code", "class_code")
 
 

@@ -25,12 +25,12 @@ def documents(spark, sf) -> DataFrame:
     rows = table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), "lang", length.alias("n_chars"),
         (length - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).alias("n_words"),
-        (F.length(F.regexp_replace(text, "[^0-9]", "")) / length).alias("digit_share"),
-        (F.length(F.regexp_replace(text, "[^A-Z]", "")) / length).alias("upper_share"),
+        ((length - F.length(F.regexp_replace(text, "[0-9]+", ""))) / length).alias("digit_share"),
+        ((length - F.length(F.regexp_replace(text, "[A-Z]+", ""))) / length).alias("upper_share"),
         F.regexp_replace("source", "[^0-9]", "").cast("int").alias("source_code"))
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("quality"))
     rows = durable(rows.join(labels, "id", "left"))
-    rows = encode.label_codes(rows, "lang", "lang_code", "id", by=())
+    rows = encode.label_codes(rows, {"lang": "lang_code"}, "id", by=())
     return encode.assemble(rows, FEATURES, "id", "quality")
 
 

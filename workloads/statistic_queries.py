@@ -199,7 +199,7 @@ def win_group_median_fill(spark, sf):
   (PARTITION BY split, cabin IS NULL ORDER BY cabin) - 1 AS INTEGER) END AS code FROM m""")
 def win_label_codes(spark, sf):
     rows = manifest(spark, sf).select("id", "split", "cabin")
-    return encode.label_codes(rows, "cabin", "code", "id", ["split"]).select("id", "code")
+    return encode.label_codes(rows, {"cabin": "code"}, "id", ["split"]).select("id", "code")
 
 
 @query("win_contiguous_folds", "SELECT o_orderkey, CAST(ntile(7) OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS fold"
