@@ -55,7 +55,8 @@ def side_by_side_fits(jobs: Iterable[Callable], parallelism: int = 4) -> list:
     jobs = list(jobs)
     if len(jobs) <= 1 or parallelism <= 1:
         return [job() for job in jobs]
-    session = SparkSession.getActiveSession()
+    # a worker thread of an outer call has no active session of its own
+    session = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     with ThreadPool(min(parallelism, len(jobs))) as pool:
         return pool.map(inheritable_thread_target(session)(lambda job: job()), jobs)
 

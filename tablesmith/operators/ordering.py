@@ -126,13 +126,10 @@ def medians(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
 def modes(df: DataFrame, keys: Sequence[str], column: str, output: str) -> DataFrame:
     """Most frequent non-null value per group, the smallest one on ties.
 
-    Counted first, so no task holds a group's values; then one max over (count, value).
+    Counted first, so no task holds a group's values; then the least (-count, value) pair,
+    which combines before the shuffle and needs no join back.
     """
     counts = (df.where(F.col(column).isNotNull()).groupBy(*keys, column)
               .agg(F.count(F.lit(1)).alias("_n")))
-    top = counts.groupBy(*keys).agg(F.max("_n").alias("_top"))
-    if keys:
-        best = counts.join(top, list(keys)).where(F.col("_n") == F.col("_top"))
-    else:
-        best = counts.where(F.col("_n") == top.select("_top").scalar())
-    return best.groupBy(*keys).agg(F.min(column).alias(output))
+    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v")))
+    return counts.groupBy(*keys).agg(best["v"].alias(output))

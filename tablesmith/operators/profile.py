@@ -90,11 +90,11 @@ def describe_categorical(df: DataFrame, names: Sequence[str]) -> DataFrame:
     pairs = _long(df.select(*[F.col(c).cast("string").alias(c) for c in names]), [],
                   "column_name", "value").where(F.col("value").isNotNull())
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    tops = counts.groupBy("column_name").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_unique"), F.max("n").alias("top_count"))
-    best = (counts.withColumnRenamed("n", "top_count").join(tops, ["column_name", "top_count"])
-            .groupBy("column_name").agg(F.min("value").alias("top_value")))
-    return tops.join(best, "column_name")
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("value").alias("v")))
+    return (counts.groupBy("column_name")
+            .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_unique"), best.alias("_best"))
+            .select("column_name", "n", "n_unique", F.col("_best.v").alias("top_value"),
+                    (-F.col("_best.n")).alias("top_count")))
 
 
 def unique_values(df: DataFrame, names: Sequence[str], ceiling: int = 5) -> DataFrame:

@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesmith.operators.ordering import medians, modes, quantiles
+from tablesmith.operators.relational import attach
 
 
 def global_stats(df: DataFrame, column: str) -> DataFrame:
@@ -75,10 +76,10 @@ def correlations_with(df: DataFrame, column: str, names: Sequence[str],
 def boxplot(df: DataFrame, group: str, column: str, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (last value within 1.5 IQR), mean and outlier count."""
     rows = df.where(F.col(column).isNotNull() & F.col(group).isNotNull())
-    cuts = quantiles(rows, [group], {"q1": (column, .25), "q2": (column, .5), "q3": (column, .75)})
+    cuts = quantiles(rows, [group], {"q1": (column, .25), "q2": (column, .5), "q3": (column, .75)}, size="_size")
     # fences are attached per distinct value, after map-side counting, not per row
     counts = rows.groupBy(group, column).agg(F.count(F.lit(1)).alias("_n"))
-    fenced = counts.join(cuts, group)
+    fenced = attach(counts, cuts, [group], "_size", [column])
     reach = (F.col("q3") - F.col("q1")) * whisker
     value = F.col(column).cast("double")
     inside = (value >= F.col("q1") - reach) & (value <= F.col("q3") + reach)
@@ -120,7 +121,7 @@ def kernel_density(df: DataFrame, group: str, column: str, points: int = 25) ->
     step = (edge.hi - edge.lo) / (points - 1)
     width = rows.groupBy(group).agg(
         (F.pow(F.count(F.lit(1)), F.lit(-0.2)) * F.stddev_samp(value)).alias("_h"),
-        F.count(F.lit(1)).alias("_rows"))
+        F.count(F.lit(1)).alias("_rows"), F.count(F.lit(1)).alias("_size"))
     counts = rows.groupBy(group, value.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
     marks = [edge.lo + step * i for i in range(points)]
     scale = math.sqrt(2.0 * math.pi)
@@ -129,7 +130,7 @@ def kernel_density(df: DataFrame, group: str, column: str, points: int = 25) ->
         far = (F.lit(mark) - F.col("_x")) / F.col("_h")
         return F.sum(F.exp(far * far * -0.5) * F.col("_n"))
 
-    heights = counts.join(width, group).groupBy(group, "_h", "_rows").agg(
+    heights = attach(counts, width, [group], "_size", ["_x"]).groupBy(group, "_h", "_rows").agg(
         F.array(*[height(m) for m in marks]).alias("_all"))
     return heights.select(group, F.posexplode("_all").alias("point", "_sum"), "_h", "_rows").select(
         group, "point", (F.lit(edge.lo) + F.lit(step) * F.col("point")).alias("x"),

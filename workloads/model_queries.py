@@ -167,7 +167,7 @@ def model_logistic_cv(spark, sf):
 
 @query("model_linear_svc")
 def model_linear_svc(spark, sf):
-    return fitted(spark, sf, linear.hinge_svc())
+    return fitted(spark, sf, linear.hinge_svc(max_iter=20))
 
 
 @query("model_poly_svc")
