@@ -37,17 +37,19 @@ def classification_report(df: DataFrame, prediction: str, label: str) -> DataFra
         .withColumn("recall", F.coalesce(F.try_divide("hits", "support"), F.lit(0.0)))
         .withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
                                                   F.col("precision") + F.col("recall")), F.lit(0.0))))
-    shown = ["class", "precision", "recall", "f1", "support"]
-    macro = per.agg(F.lit("macro avg").alias("class"),
-                    *[F.avg(c).alias(c) for c in shown[1:4]], F.sum("support").alias("support"))
-    weighted = per.agg(
-        F.lit("weighted avg").alias("class"),
-        *[(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c) for c in shown[1:4]],
-        F.sum("support").alias("support"))
+    scores = ["precision", "recall", "f1"]
     share = F.sum("hits") / F.sum("support")
-    total = per.agg(F.lit("accuracy").alias("class"), share.alias("precision"),
-                    share.alias("recall"), share.alias("f1"), F.sum("support").alias("support"))
-    return per.select(*shown).union(total).union(macro).union(weighted)
+
+    def line(name: str, values):
+        return F.struct(F.lit(name).alias("class"), *[v.alias(c) for c, v in zip(scores, values)],
+                        F.sum("support").alias("support"))
+
+    # all three summary rows come out of one pass over the per-class rows
+    summary = per.agg(F.array(
+        line("accuracy", [share] * 3), line("macro avg", [F.avg(c) for c in scores]),
+        line("weighted avg", [F.sum(F.col(c) * F.col("support")) / F.sum("support") for c in scores])
+    ).alias("lines")).select(F.inline("lines"))
+    return per.select("class", *scores, "support").unionByName(summary)
 
 
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:

@@ -25,11 +25,10 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight:
     """Add the weight of all rows that sort earlier within the keys, and the key's total.
 
     The partition number is read back from a checkpoint, so every later use sees the same
-    assignment even when tasks are retried.
+    assignment even when tasks are retried. The number of ranges is
+    spark.sql.shuffle.partitions, merged by adaptive execution where they are small.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = durable(df.repartitionByRange(parts, *keys, *order)
-                     .withColumn("_part", F.spark_partition_id()))
+    ranged = durable(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
     inside = (Window.partitionBy("_part", *keys).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
     # at most one row per partition and key: a window over one key sees <= parts rows
