@@ -15,8 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Columns a Spark ML model adds besides the prediction.
-SCRATCH = ("rawPrediction", "probability", "prediction", "p1")
+from tablesmith.session import shared_folder
 
 
 def feature_columns(width: int) -> list[Column]:
@@ -80,6 +79,8 @@ class Pinned:
         return Pinned(self.name, self.build, **{**self.params, **params})
 
     def fit(self, df: DataFrame):
+        # boosted models cut their lineage only if a checkpoint folder is set
+        shared_folder(df.sparkSession)
         return self.build(**self.params).fit(df)
 
     def fit_score(self, df: DataFrame):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from tablesmith.functions.maps import lookup
@@ -77,7 +77,7 @@ def levels(df: DataFrame, names: Sequence[str], max_levels: int = MAX_LEVELS) ->
     """Sorted distinct non-null values of each column, over all rows given."""
     known = _level_rows(df, names, (), max_levels)
     if known is None:
-        raise ValueError(f"{list(names)} have more than {max_levels} levels")
+        raise ValueError(f"{list(names)} have more than {max_levels} levels; use one_hot_vectors")
     return {n: groups.get((), []) for n, groups in known.items()}
 
 
@@ -96,6 +96,22 @@ def dummies(df: DataFrame, names: Sequence[str], known: Mapping[str, list] | Non
     return df.select(*rest, *flags)
 
 
+def one_hot_vectors(df: DataFrame, names: Sequence[str], key: str) -> DataFrame:
+    """One sparse vector per column instead of one column per level, for any number of levels.
+
+    ``col_vector`` has a place per sorted level over all rows given; null gives all zeros.
+    """
+    codes = {n: f"_{n}_code" for n in names}
+    coded = label_codes(df, codes, key, by=())
+    places = coded.agg(*[F.coalesce(F.max(c) + 1, F.lit(0)).alias(n) for n, c in codes.items()]).first()
+    # a null takes the place after the last level, which dropLast leaves out of the vector
+    coded = coded.withColumns({c: F.coalesce(F.col(c), F.lit(places[n])).cast("double") for n, c in codes.items()})
+    sizes = df.sparkSession.createDataFrame(
+        [tuple(float(places[n]) for n in names)], [codes[n] for n in names])
+    encoder = OneHotEncoder(inputCols=list(codes.values()), outputCols=[f"{n}_vector" for n in names], dropLast=True)
+    return encoder.fit(sizes).transform(coded).drop(*codes.values())
+
+
 def min_max(df: DataFrame, names: Sequence[str], scope: str = "union", split: str = "split") -> DataFrame:
     """(x - min) / (max - min); a constant column becomes 0."""
     def ends(rows, keys):

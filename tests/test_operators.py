@@ -149,6 +149,12 @@ def test_dummies_same_columns_for_every_split(spark):
         encode.levels(df, ["v"], max_levels=1)
 
 
+def test_one_hot_vectors_have_a_place_per_level(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "c")], "id long, v string")
+    got = encode.one_hot_vectors(df, ["v"], "id").orderBy("id").collect()
+    assert [list(r.v_vector.toArray()) for r in got] == [[0, 1, 0], [1, 0, 0], [0, 0, 0], [0, 0, 1]]
+
+
 def test_min_max_constant_becomes_zero(spark):
     df = spark.createDataFrame([(1.0, 4.0), (3.0, 4.0)], "a double, b double")
     assert [tuple(r) for r in encode.min_max(df, ["a", "b"]).orderBy("a").collect()] == [(0.0, 0.0), (1.0, 0.0)]

@@ -9,8 +9,8 @@ from tablesmith.models import closed_form, ensemble, selection, trees, zoo
 from tablesmith.models.base import Pinned, predict
 from tablesmith.operators import rules
 from tablesmith.operators.stats import correlations
-from workloads.base import M, manifest, query, r6, uniform_sql
-from workloads.model_queries import D, FEATURES, gaussian_sql, train_test
+from workloads.base import M, manifest, query, r6, rounded, scramble_sql, uniform_sql
+from workloads.model_queries import D, FEATURES, bernoulli_sql, gaussian_sql, train_test
 
 # Round and tree counts short enough to check every query; ``zoo`` holds the full ones.
 SHORT = {"et": {"n_trees": 10}, "rf": {"n_trees": 10, "max_depth": 8}, "ada": {"n_rounds": 3},
@@ -18,10 +18,13 @@ SHORT = {"et": {"n_trees": 10}, "rf": {"n_trees": 10, "max_depth": 8}, "ada": {"
          "bg": {"n_trees": 2, "max_depth": 5}, "lg": {"max_iter": 10}}
 
 
-@query("ens_oof_predictions", D + f""", f AS (SELECT *, ntile(5) OVER (ORDER BY id) - 1 AS fold FROM d
+FOLDS = D + """, f AS (SELECT *, ntile(5) OVER (ORDER BY id) - 1 AS fold FROM d
   WHERE label IS NOT NULL), t AS (SELECT f.*, k.g FROM f JOIN range(5) AS k(g) ON f.fold <> k.g),
-x AS (SELECT * FROM f UNION ALL BY NAME SELECT * FROM d WHERE label IS NULL),
-{gaussian_sql('x', 't', '(x.fold IS NULL OR x.fold = st.g)')}
+x AS (SELECT * FROM f UNION ALL BY NAME SELECT * FROM d WHERE label IS NULL), """
+OWN_FOLD = "(x.fold IS NULL OR x.fold = st.g)"
+
+
+@query("ens_oof_predictions", FOLDS + gaussian_sql("x", "t", OWN_FOLD) + """
 SELECT id, CASE WHEN any_value(fold) IS NULL THEN 'test' ELSE 'train' END AS part,
   round(avg(prediction), 6) AS prediction FROM pr JOIN x USING (id) GROUP BY id""")
 def ens_oof_predictions(spark, sf):
@@ -44,22 +47,15 @@ def ens_first_layer(spark, sf):
             .withColumn("train_accuracy", known[F.col("model")]))
 
 
-FAST = {"nb": closed_form.GaussianNB(), "bnb": closed_form.BernoulliNB(), "lda": closed_form.LinearDiscriminant(),
-        "tree": zoo.decision_tree(max_depth=4)}
-
-
-@query("ens_stack_features")
+@query("ens_stack_features", FOLDS + gaussian_sql("x", "t", OWN_FOLD) + ", " + bernoulli_sql("x", "t", OWN_FOLD) + """,
+a AS (SELECT id, round(avg(prediction), 6) AS nb FROM pr GROUP BY id),
+b AS (SELECT id, round(avg(prediction), 6) AS bnb FROM prb GROUP BY id) SELECT id, nb, bnb FROM a JOIN b USING (id)""")
 def ens_stack_features(spark, sf):
+    """The next layer's input: one out-of-fold column per base model, train and test rows."""
     train, test = train_test(spark, sf)
-    oof_train, oof_test = ensemble.out_of_fold(FAST, train, test, k=5)
-    return oof_train.select("id", *FAST).unionByName(oof_test.select("id", *FAST))
-
-
-@query("agg_prediction_corr")
-def agg_prediction_corr(spark, sf):
-    train, test = train_test(spark, sf)
-    oof_train, _ = ensemble.out_of_fold(FAST, train, test, k=5)
-    return correlations(oof_train, list(FAST))
+    base = {"nb": closed_form.GaussianNB(), "bnb": closed_form.BernoulliNB()}
+    oof_train, oof_test = ensemble.out_of_fold(base, train, test, k=5)
+    return rounded(oof_train.select("id", *base).unionByName(oof_test.select("id", *base)), *base)
 
 
 @query("ens_stack_two_layers")
@@ -101,6 +97,19 @@ VOTES = M + f""", v AS (SELECT id, CAST(sex = 'female' AS INTEGER) AS l1, CAST({
   {uniform_sql('id', 2)} AS p2, CASE WHEN sex = 'female' THEN 0.75 ELSE 0.25 END AS p3 FROM m)"""
 
 
+LABELS = ["l1", "l2", "l3", "l4"]
+
+
+def _vote_corr(a: str, b: str) -> str:
+    value = "CAST(max(1) AS DOUBLE)" if a == b else f"round(corr({a}, {b}), 6)"
+    return f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, {value} AS correlation FROM v"
+
+
+@query("agg_prediction_corr", VOTES + " " + " UNION ALL ".join(_vote_corr(a, b) for a in LABELS for b in LABELS))
+def agg_prediction_corr(spark, sf):
+    return rounded(correlations(_votes(spark, sf), LABELS), "correlation")
+
+
 @query("ens_vote_hard", VOTES + " SELECT id, CAST(l1 + l2 + l3 + l4 > 2 AS INTEGER) AS vote FROM v")
 def ens_vote_hard(spark, sf):
     return _votes(spark, sf).select("id", ensemble.hard_vote(["l1", "l2", "l3", "l4"]).alias("vote"))
@@ -122,12 +131,26 @@ def _metrics(table):
     return table.drop("fit_seconds")
 
 
-@query("sel_cross_validate")
+def draw_role_sql(draw: int) -> str:
+    rank = f"row_number() OVER (ORDER BY {scramble_sql('id', draw)}, id)"
+    n_test, n_train = "ceil(0.3 * count(*) OVER ())", "floor(0.6 * count(*) OVER ())"
+    return (f"SELECT *, {draw} AS g, CASE WHEN {rank} <= {n_test} THEN 'test' WHEN {rank} <= {n_test} + {n_train} "
+            "THEN 'train' ELSE 'unused' END AS role FROM d WHERE label IS NOT NULL")
+
+
+@query("sel_cross_validate", D + ", y AS (" + " UNION ALL ".join(draw_role_sql(i) for i in range(3)) + "),"
+       " t AS (SELECT * FROM y WHERE role = 'train'), x AS (SELECT * FROM y WHERE role <> 'unused'), "
+       + gaussian_sql("x", "t", "x.g = st.g") + """,
+a AS (SELECT x.g, role, avg(CAST(prediction = label AS INTEGER)) AS hit FROM pr JOIN x ON x.id = pr.id AND x.g = pr.g
+  GROUP BY x.g, role)
+SELECT 'nb' AS name, 'gaussian_nb()' AS parameters, round(avg(hit) FILTER (role = 'train'), 6) AS train_mean,
+  round(avg(hit) FILTER (role = 'test'), 6) AS test_mean, round(3 * stddev_pop(hit) FILTER (role = 'test'), 6) AS test_3std,
+  round(min(hit) FILTER (role = 'test'), 6) AS test_min FROM a""")
 def sel_cross_validate(spark, sf):
     train, _ = train_test(spark, sf)
-    candidates = {"tree": zoo.decision_tree(max_depth=4), "nb": Pinned("nb", closed_form.GaussianNB)}
+    candidates = {"nb": Pinned("gaussian_nb", closed_form.GaussianNB)}
     found = selection.cross_validate(candidates, train, selection.draws(train, n=3))
-    return _metrics(selection.metric_table(train, found))
+    return rounded(_metrics(selection.metric_table(train, found)), "train_mean", "test_mean", "test_3std", "test_min")
 
 
 @query("sel_model_compare")

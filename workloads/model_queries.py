@@ -82,18 +82,24 @@ def model_gaussian_nb(spark, sf):
     return fitted(spark, sf, closed_form.GaussianNB(), probability=True)
 
 
-def bernoulli_sql() -> str:
-    terms = " + ".join(f"CASE WHEN x.{f} > 0 THEN ln((c_{f} + 1) / CAST(n + 2 AS DOUBLE))"
+def bernoulli_sql(rows: str, train: str, on: str, tag: str = "b") -> str:
+    """The same for present / absent features; CTE names carry ``tag``."""
+    terms = " + ".join(f"CASE WHEN {rows}.{f} > 0 THEN ln((c_{f} + 1) / CAST(n + 2 AS DOUBLE))"
                        f" ELSE ln(1 - (c_{f} + 1) / CAST(n + 2 AS DOUBLE)) END" for f in FS)
-    return f"""st AS (SELECT label AS c, count(*) AS n, {', '.join(f'count(*) FILTER ({f} > 0) AS c_{f}' for f in FS)}
-  FROM d WHERE label IS NOT NULL GROUP BY label),
-x AS (SELECT * FROM d WHERE label IS NULL),
-sc AS (SELECT x.id, c, ln(n / CAST((SELECT sum(n) FROM st) AS DOUBLE)) + {terms} AS s FROM x, st)
-SELECT id, CAST(arg_min(c, (-s, c)) AS INTEGER) AS prediction,
-  round(1 / (1 + exp(max(s) FILTER (c = 0) - max(s) FILTER (c = 1))), 6) AS p1 FROM sc GROUP BY id"""
+    return f"""st{tag} AS (SELECT g, label AS c, count(*) AS n,
+  {', '.join(f'count(*) FILTER ({f} > 0) AS c_{f}' for f in FS)} FROM {train} GROUP BY g, label),
+wh{tag} AS (SELECT g, count(*) AS total FROM {train} GROUP BY g),
+sc{tag} AS (SELECT {rows}.id, st{tag}.g, c, ln(n / CAST(total AS DOUBLE)) + {terms} AS s
+  FROM {rows} JOIN st{tag} ON {on.replace('st.', f'st{tag}.')} JOIN wh{tag} ON wh{tag}.g = st{tag}.g),
+pr{tag} AS (SELECT id, g, CAST(arg_min(c, (-s, c)) AS INTEGER) AS prediction,
+  1 / (1 + exp(max(s) FILTER (c = 0) - max(s) FILTER (c = 1))) AS p1 FROM sc{tag} GROUP BY id, g)"""
 
 
-@query("model_bernoulli_nb", D + ", " + bernoulli_sql())
+ALL_LABELLED = ", t AS (SELECT *, 0 AS g FROM d WHERE label IS NOT NULL)"
+
+
+@query("model_bernoulli_nb", D + ALL_LABELLED + ", x AS (SELECT * FROM d WHERE label IS NULL), "
+       + bernoulli_sql("x", "t", "true") + " SELECT id, prediction, round(p1, 6) AS p1 FROM prb")
 def model_bernoulli_nb(spark, sf):
     return fitted(spark, sf, closed_form.BernoulliNB(), probability=True)
 
@@ -205,12 +211,15 @@ def model_qda(spark, sf):
     return fitted(spark, sf, closed_form.QuadraticDiscriminant(), probability=True)
 
 
-@query("model_fit_score")
+@query("model_fit_score", D + ALL_LABELLED + ", " + gaussian_sql("d", "t", "true") + """
+SELECT d.id, prediction, (SELECT round(avg(CAST(p.prediction = e.label AS INTEGER)), 6) FROM pr p JOIN d e USING (id)
+  WHERE e.label IS NOT NULL) AS train_score FROM pr JOIN d USING (id) WHERE label IS NULL""")
 def model_fit_score(spark, sf):
     """Fit and score one wrapped model; the score is attached to its predictions."""
     train, test = train_test(spark, sf)
-    model, accuracy = Pinned("decision_tree", trees.decision_tree, max_depth=4).fit_score(train)
-    return predict(model, test, "prediction").select("id", "prediction", F.lit(round(accuracy, 6)).alias("train_score"))
+    model, accuracy = Pinned("gaussian_nb", closed_form.GaussianNB).fit_score(train)
+    return predict(model, test, "prediction").select(
+        "id", F.col("prediction").cast("int").alias("prediction"), F.lit(round(accuracy, 6)).alias("train_score"))
 
 
 def _importances(spark, sf) -> DataFrame:
