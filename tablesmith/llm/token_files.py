@@ -23,8 +23,9 @@ import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
+from tablesmith.llm.byte_bpe import byte_characters
 from tablesmith.llm.storage import new_folder, saved
 
 # Fixed values of the public seekable format.
@@ -127,23 +128,27 @@ class FrameReader:
 class WordEncoder:
     """Ids of texts by a word-level vocabulary that drops white space and case.
 
-    White space never joins two words, so each distinct word is cut and encoded once per
-    worker. Texts that are not in Unicode normal form C go to the library as a whole.
+    White space never joins two words, so each distinct word is cut and its pieces are merged by
+    the library's model once per worker. Texts that are not in Unicode normal form C go to the library as a whole.
     """
 
-    def __init__(self, tokenizer_json: str, limit: int = 500_000):
+    def __init__(self, tokenizer_json: str, limit: int = 800_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.lower = self.tokenizer.model, normalizers.Lowercase().normalize_str
+        self.stand_in = dict(enumerate(byte_characters()))
         self.limit, self.words, self.pieces = limit, {}, {}
 
     def _learn(self, words: set[bytes]) -> None:
-        split = {w: WORD_PIECE.findall(w.decode("utf-8")) for w in words}
+        split = {w: WORD_PIECE.findall(w.decode() if w.isascii() else self.lower(w.decode())) for w in words}
         fresh = [p for p in {p for parts in split.values() for p in parts} if p not in self.pieces]
         if len(self.pieces) + len(fresh) > self.limit:
             self.pieces.clear()
             fresh = list({p for parts in split.values() for p in parts})
-        for piece, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
+        merge, stand_in = self.model.tokenize, self.stand_in
+        for piece in fresh:
+            ids = [t.id for t in merge(piece.encode("utf-8").decode("latin-1").translate(stand_in))]
+            self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
         pieces = self.pieces
         for word, parts in split.items():
             self.words[word] = b"".join([pieces[p] for p in parts])
