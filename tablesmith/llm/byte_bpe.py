@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer, models, pre_tokenizers
+from tokenizers import Tokenizer, models
 
 CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 # Unicode white space beyond ASCII can join a white-space run; such texts are not cut.
@@ -42,7 +43,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def build_tokenizer(ranks: dict[bytes, int]) -> Tokenizer:
-    """A library tokenizer for one pre-token whose merges follow ``ranks``.
+    """A library tokenizer whose merges of one pre-token, spelled by ``byte_characters``, follow ``ranks``.
 
     Any two tokens whose bytes join to a third may merge, at the rank of the third, so every
     cut of every token into two tokens is a merge.
@@ -54,9 +55,7 @@ def build_tokenizer(ranks: dict[bytes, int]) -> Tokenizer:
         for cut in range(1, len(token)):
             if token[:cut] in ranks and token[cut:] in ranks:
                 merges.append((spelled[token[:cut]], spelled[token[cut:]]))
-    tokenizer = Tokenizer(models.BPE(vocab={spelled[t]: i for t, i in ranks.items()}, merges=merges, ignore_merges=True))
-    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return tokenizer
+    return Tokenizer(models.BPE(vocab={spelled[t]: i for t, i in ranks.items()}, merges=merges, ignore_merges=True))
 
 
 class Codec:
@@ -66,6 +65,7 @@ class Codec:
         self.tokenizer = Tokenizer.from_str(spec["tokenizer"])
         self.pattern = regex.compile(spec["pattern"])
         back = {c: b for b, c in enumerate(byte_characters())}
+        self.stand_in = dict(enumerate(byte_characters()))
         vocabulary = self.tokenizer.get_vocab()
         self.token_bytes = [b""] * (max(vocabulary.values()) + 1)
         for spelled, i in vocabulary.items():
@@ -80,8 +80,10 @@ class Codec:
         if len(self.pieces) + len(fresh) > self.limit:
             self.pieces.clear()
             fresh = list({p for parts in split.values() for p in parts})
-        for piece, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.pieces[piece] = np.array(found.ids, np.int32).tobytes()
+        merge, stand_in = self.tokenizer.model.tokenize, self.stand_in
+        for piece in fresh:
+            ids = [t.id for t in merge(piece.encode("utf-8").decode("latin-1").translate(stand_in))]
+            self.pieces[piece] = struct.pack(f"={len(ids)}i", *ids)
         pieces = self.pieces
         for chunk, parts in split.items():
             self.chunks[chunk] = b"".join([pieces[p] for p in parts])
