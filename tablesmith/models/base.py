@@ -31,13 +31,27 @@ def width_of(df: DataFrame) -> int:
     return len(df.select("features").first()[0])
 
 
-def predict(model, df: DataFrame, prediction: str, probability: str | None = None) -> DataFrame:
+def predict(model, df: DataFrame, prediction: str, probability: str | None = None,
+            ranking: str | None = None) -> DataFrame:
     """``df`` plus the model's 0/1 label and, where it has one, its class-1 probability.
 
-    Models without probabilities give null.
+    Models without probabilities give null. ``ranking`` is a score for curves: the probability,
+    or else the margin of class 1, or else the label.
     """
     scored = model.transform(df)
     outputs = [F.col("prediction").alias(prediction)]
+    if ranking:
+        if "p1" in scored.columns:
+            rank = F.col("p1")
+        elif "probability" in scored.columns:
+            rank = vector_to_array("probability")[1]
+        elif "margin" in scored.columns:
+            rank = F.col("margin")
+        elif "rawPrediction" in scored.columns:
+            rank = vector_to_array("rawPrediction")[1]
+        else:
+            rank = F.col("prediction")
+        outputs.append(rank.alias(ranking))
     if probability:
         if "p1" in scored.columns:
             chance = F.col("p1")
@@ -46,7 +60,7 @@ def predict(model, df: DataFrame, prediction: str, probability: str | None = Non
         else:
             chance = F.lit(None).cast("double")
         outputs.append(chance.alias(probability))
-    return scored.select(*[c for c in df.columns if c not in (prediction, probability)], *outputs)
+    return scored.select(*[c for c in df.columns if c not in (prediction, probability, ranking)], *outputs)
 
 
 def side_by_side_fits(jobs: Iterable[Callable], parallelism: int = 4) -> list:

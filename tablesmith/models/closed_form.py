@@ -11,11 +11,12 @@ from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesmith.models.base import feature_columns, width_of
 
-# Pairwise sums grow with the square of the width; wider tables need another method.
+# Up to this width all covariances are one row of aggregates; above it, a matrix per class.
 MAX_WIDTH = 64
 
 
@@ -92,7 +93,7 @@ def _moments(df: DataFrame) -> dict[float, tuple[int, np.ndarray, np.ndarray]]:
     """{label: (rows, mean vector, population covariance)} from one grouped aggregate."""
     width = width_of(df)
     if width > MAX_WIDTH:
-        raise ValueError(f"{width} features; at most {MAX_WIDTH} are solved in closed form")
+        return _wide_moments(df)
     xs = feature_columns(width)
     pairs = list(combinations_with_replacement(range(width), 2))
     rows = df.groupBy("label").agg(
@@ -107,6 +108,22 @@ def _moments(df: DataFrame) -> dict[float, tuple[int, np.ndarray, np.ndarray]]:
     return found
 
 
+def _wide_moments(df: DataFrame) -> dict[float, tuple[int, np.ndarray, np.ndarray]]:
+    """The same for wide vectors: per class a correlation matrix, scaled by the deviations."""
+    wanted = Summarizer.metrics("count", "mean", "variance").summary(F.col("features")).alias("s")
+    found = {}
+    for r in df.groupBy("label").agg(wanted).collect():
+        n, spread = r.s["count"], np.sqrt(np.maximum(r.s["variance"].toArray(), 0.0) * (r.s["count"] - 1) / r.s["count"])
+        cov = np.zeros((len(spread), len(spread)))
+        if n > 1:
+            rows = df.where(F.col("label").eqNullSafe(F.lit(r.label)))
+            related = np.nan_to_num(Correlation.corr(rows, "features").first()[0].toArray())
+            np.fill_diagonal(related, 1.0)
+            cov = related * np.outer(spread, spread)
+        found[r.label] = (n, r.s["mean"].toArray(), cov)
+    return found
+
+
 def _affine(weights: Sequence[float], intercept: float) -> Column:
     xs = feature_columns(len(weights))
     return _total([x * float(w) for x, w in zip(xs, weights)]) + float(intercept)
@@ -157,7 +174,8 @@ class _SignModel:
         self.weights, self.intercept, self.alpha = list(map(float, weights)), float(intercept), alpha
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", (_affine(self.weights, self.intercept) > 0).cast("double"))
+        margin = _affine(self.weights, self.intercept)
+        return df.withColumn("margin", margin).withColumn("prediction", (F.col("margin") > 0).cast("double"))
 
 
 class RidgeClassifier:
@@ -185,7 +203,8 @@ class RidgeClassifier:
             weights = inverse @ cross
             intercept = y_mean - mean @ weights
             leverage = _quadratic(inverse, mean) + 1.0 / total
-            left_out = (target - _affine(weights, intercept)) / (1.0 - leverage)
+            # a row of leverage 1 decides its own prediction and has no error left out
+            left_out = F.try_divide(target - _affine(weights, intercept), 1.0 - leverage)
             fits.append(_SignModel(weights, intercept, alpha))
             errors.append(F.avg(left_out * left_out).alias(f"e{len(errors)}"))
         losses = df.agg(*errors).first()

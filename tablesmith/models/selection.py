@@ -39,10 +39,9 @@ def _split_scores(estimator, df: DataFrame, role: Column, scoring: str) -> tuple
     start = time.perf_counter()
     model = estimator.fit(rows.where(F.col("_role") == "train").drop("_role"))
     seconds = time.perf_counter() - start
-    scored = predict(model, rows.where(F.col("_role") != "unused"), "_guess", "_chance")
+    scored = predict(model, rows.where(F.col("_role") != "unused"), "_guess", ranking="_chance")
     if scoring == "roc_auc":
-        chance = F.coalesce(F.col("_chance"), F.col("_guess"))
-        scored = scored.select("_role", "label", chance.alias("_chance"))
+        scored = scored.select("_role", "label", "_chance")
         return (_auc(scored.where(F.col("_role") == "train")), _auc(scored.where(F.col("_role") == "test")), seconds)
     hit = F.avg((F.col("_guess") == F.col("label")).cast("double"))
     found = {r[0]: r[1] for r in scored.groupBy("_role").agg(hit).collect()}

@@ -6,64 +6,91 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tablesmith.functions.maps import lookup
 from tablesmith.operators.fitted import constant, learn
 from tablesmith.operators.ordering import positions
 from tablesmith.operators.relational import attach, group_sizes
 
-# One column per level: more levels than this is not a table any more, and is an error.
-MAX_LEVELS = 1000
-# Codes of at most this many levels travel as literals; more are joined.
+# Codes of at most this many levels per column travel as literals; more are joined.
 LITERAL_LEVELS = 64
 
 
-def _level_rows(df: DataFrame, names: Sequence[str], by: Sequence[str], cap: int) -> dict | None:
-    """{column: {by values: sorted levels}} from one scan, or None above ``cap`` in total."""
-    kinds = dict(df.select(*names).dtypes)
-    rows = df.select(*by, *[F.col(n).cast("string").alias(n) for n in names])
-    for key in by:
-        rows = rows.where(F.col(key).isNotNull())
-    pairs = (rows.unpivot(list(by), list(names), "_column", "_value").where(F.col("_value").isNotNull())
-             .groupBy(*by, "_column", "_value").agg(F.count(F.lit(1)).alias("_n")).drop("_n"))
-    found = pairs.limit(cap + 1).collect()
-    if len(found) > cap:
-        return None
+def _in_order(values: list) -> list:
+    """Values as Spark sorts them: NaN last, text by its bytes."""
+    if values and isinstance(values[0], str):
+        return sorted(values, key=lambda v: v.encode("utf-8", "surrogatepass"))
+    return sorted(values, key=lambda v: (v != v, v))
 
-    def typed(name: str, value: str):
-        if kinds[name] in ("tinyint", "smallint", "int", "bigint"):
-            return int(value)
-        return float(value) if kinds[name] in ("float", "double") else value
 
-    result: dict[str, dict[tuple, list]] = {n: {} for n in names}
-    for *group, name, value in found:
-        result[name].setdefault(tuple(group), []).append(typed(name, value))
-    return {n: {g: sorted(values) for g, values in groups.items()} for n, groups in result.items()}
+def _level_rows(df: DataFrame, names: Sequence[str], by: Sequence[str], cap: int | None) -> dict[str, dict | None]:
+    """{column: {by values: sorted levels}}; None for a column with more than ``cap`` levels in all.
+
+    Columns of one type share a scan and keep that type. If together they have more than
+    their caps, each is looked at by itself.
+    """
+    rows = df
+    for key in by:
+        rows = rows.where(F.col(key).isNotNull())
+    kinds: dict[str, list[str]] = {}
+    for name, kind in df.select(*names).dtypes:
+        kinds.setdefault(kind, []).append(name)
+
+    def read(chosen: list[str]) -> list | None:
+        pairs = (rows.select(*by, *chosen).unpivot(list(by), list(chosen), "_column", "_value")
+                 .where(F.col("_value").isNotNull())
+                 .groupBy(*by, "_column", "_value").agg(F.count(F.lit(1)).alias("_n")).drop("_n"))
+        found = (pairs if cap is None else pairs.limit(cap * len(chosen) + 1)).collect()
+        return None if cap is not None and len(found) > cap * len(chosen) else found
+
+    result: dict[str, dict | None] = {n: {} for n in names}
+    for group in kinds.values():
+        found = read(group)
+        parts = [found] if found is not None else [read([name]) for name in group]
+        names_of = [group] if found is not None else [[name] for name in group]
+        for chosen, part in zip(names_of, parts):
+            for name in chosen:
+                own = None if part is None else [r for r in part if r["_column"] == name]
+                if own is None or cap is not None and len(own) > cap:
+                    result[name] = None
+                    continue
+                levels_of: dict[tuple, list] = {}
+                for *keys, _, value in own:
+                    levels_of.setdefault(tuple(keys), []).append(value)
+                result[name] = {k: _in_order(v) for k, v in levels_of.items()}
+    return result
+
+
+def _equals(df: DataFrame, name: str, value) -> Column:
+    """Whether a column holds a level; the literal takes the column's own type."""
+    return F.col(name).eqNullSafe(F.lit(value).cast(df.schema[name].dataType))
 
 
 def label_codes(df: DataFrame, outputs: Mapping[str, str], key: str, by: Sequence[str] = ("split",),
                 literal_limit: int = LITERAL_LEVELS) -> DataFrame:
     """``{column: output}``: rank of a value among the sorted distinct values of its split, from 0.
 
-    Up to ``literal_limit`` levels per column, all codes come back from one scan as literal
-    maps and rows are coded in place. Beyond it a column's distinct values are ranked
-    range-partitioned and attached.
+    A column of up to ``literal_limit`` levels is coded in place by literals that come back from
+    one scan. The distinct values of a larger one are ranked range-partitioned and attached. Both
+    keep the column's type and order, so the codes are the same.
     """
-    known = _level_rows(df, list(outputs), by, literal_limit * len(outputs))
-    if known is None:
-        for column, output in outputs.items():
-            df = _wide_label_codes(df, column, output, key, by)
-        return df
+    known = _level_rows(df, list(outputs), by, literal_limit)
     columns = {}
     for column, output in outputs.items():
-        chain = F.lit(None).cast("int")
+        if known[column] is None:
+            continue
+        kind, chain = df.schema[column].dataType, F.lit(None).cast("int")
         for group, values in known[column].items():
             here = [F.col(k) == F.lit(v) for k, v in zip(by, group)]
-            code = lookup(F.col(column), {v: i for i, v in enumerate(values)}).cast("int")
+            entries = [x for i, v in enumerate(values) for x in (F.lit(v).cast(kind).cast("string"), F.lit(i))]
+            code = F.try_element_at(F.create_map(*entries), F.col(column).cast("string"))
             chain = F.when(reduce(lambda a, b: a & b, here, F.lit(True)), code).otherwise(chain)
         columns[output] = chain
-    return df.withColumns(columns)
+    coded = df.withColumns(columns) if columns else df
+    for column, output in outputs.items():
+        if known[column] is None:
+            coded = _wide_label_codes(coded, column, output, key, by)
+    return coded
 
 
 def _wide_label_codes(df: DataFrame, column: str, output: str, key: str, by: Sequence[str]) -> DataFrame:
@@ -73,11 +100,16 @@ def _wide_label_codes(df: DataFrame, column: str, output: str, key: str, by: Seq
             .withColumn(output, F.col("_code").cast("int")).drop("_code"))
 
 
-def levels(df: DataFrame, names: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
-    """Sorted distinct non-null values of each column, over all rows given."""
+def levels(df: DataFrame, names: Sequence[str], max_levels: int | None = None) -> dict[str, list]:
+    """Sorted distinct non-null values of each column, over all rows given.
+
+    They become columns of a plan. ``max_levels`` per column is the caller's own guard; for many
+    levels there is ``one_hot_vectors``.
+    """
     known = _level_rows(df, names, (), max_levels)
-    if known is None:
-        raise ValueError(f"{list(names)} have more than {max_levels} levels; use one_hot_vectors")
+    wide = [n for n in names if known[n] is None]
+    if wide:
+        raise ValueError(f"{wide} have more than {max_levels} levels; use one_hot_vectors")
     return {n: groups.get((), []) for n, groups in known.items()}
 
 
@@ -89,8 +121,7 @@ def dummies(df: DataFrame, names: Sequence[str], known: Mapping[str, list] | Non
     Levels are taken over every row given, so all splits get the same columns.
     """
     known = known or levels(df, names)
-    flags = [(F.coalesce(F.col(n) == F.lit(v), F.lit(False)).cast("int")
-              .alias(f"{n}_{i if numbered else v}"))
+    flags = [(_equals(df, n, v).cast("int").alias(f"{n}_{i if numbered else v}"))
              for n in names for i, v in enumerate(known[n], start=1)]
     rest = [c for c in df.columns if keep or c not in names]
     return df.select(*rest, *flags)

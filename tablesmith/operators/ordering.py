@@ -112,6 +112,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str
         for output, (c, q) in wanted.items()])
     if not size or counted:
         return result
+    if not keys:
+        return result.withColumn(size, F.lit(rows.count())).select(size, *wanted)
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size))
     return sizes.join(result, list(keys), "left").select(*keys, size, *wanted)
 

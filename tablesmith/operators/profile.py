@@ -50,7 +50,7 @@ def nulls(df: DataFrame, split: str | None = None) -> DataFrame:
                                  *[F.count_if(F.col(c).isNull()).alias(c) for c in names])
     return _long(wide, [*keys, "_rows"], "column_name", "n_null").select(
         *keys, "column_name", "n_null", F.col("_rows").alias("n_rows"),
-        (F.col("n_null") / F.col("_rows")).alias("null_fraction"))
+        F.try_divide(F.col("n_null"), F.col("_rows")).alias("null_fraction"))
 
 
 def rows_with_null(df: DataFrame, column: str) -> DataFrame:

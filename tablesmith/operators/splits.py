@@ -110,16 +110,24 @@ def holdout(df: DataFrame, key: str, test_size: float = 0.25, seed: int = 0, out
     return df.withColumn(output, shuffle_roles(df, key, 1, test_size, 1 - test_size, seed)[0])
 
 
+def poisson_steps() -> list[float]:
+    """Distribution function of Poisson(1) up to the last value that a 31-bit draw can reach."""
+    mass, total, steps = math.exp(-1.0), 0.0, []
+    while total < 1.0 - 0.5 / MODULUS:
+        total += mass
+        mass /= len(steps) + 1
+        steps.append(total)
+    return steps
+
+
 def bootstrap_weight(key: Column, bag: int | Column, seed: int = 0) -> Column:
     """How often a row is drawn into a bag: Poisson(1), the limit of drawing n of n rows.
 
     Inverse distribution function of the key's hash; rows are weighted, not copied.
     """
     u = uniform(key, bag if not isinstance(bag, int) else seed + bag)
-    chain, mass, total = None, math.exp(-1.0), 0.0
-    for count in range(12):
-        total += mass
-        mass /= count + 1
+    chain, steps = None, poisson_steps()
+    for count, total in enumerate(steps):
         test = u < F.lit(total)
         chain = F.when(test, count) if chain is None else chain.when(test, count)
-    return chain.otherwise(12)
+    return chain.when(u.isNotNull(), len(steps))

@@ -113,28 +113,29 @@ def kernel_density(df: DataFrame, group: str, column: str, points: int = 25) ->
     """Gaussian density per group on an even grid, bandwidth n^(-1/5) * std per group.
 
     The grid is a row of aggregates, so rows are read once and never multiplied. Groups are
-    attached to their bandwidth per distinct value, after map-side counting.
+    attached to their bandwidth per distinct value, after map-side counting. A group without
+    spread has no bandwidth and a null density; no values give an empty result.
     """
     rows = df.where(F.col(column).isNotNull() & F.col(group).isNotNull())
     value = F.col(column).cast("double")
     edge = rows.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-    step = (edge.hi - edge.lo) / (points - 1)
+    low, step = (edge.lo, (edge.hi - edge.lo) / max(1, points - 1)) if edge.lo is not None else (0.0, 0.0)
     width = rows.groupBy(group).agg(
         (F.pow(F.count(F.lit(1)), F.lit(-0.2)) * F.stddev_samp(value)).alias("_h"),
         F.count(F.lit(1)).alias("_rows"), F.count(F.lit(1)).alias("_size"))
     counts = rows.groupBy(group, value.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
-    marks = [edge.lo + step * i for i in range(points)]
+    marks = [low + step * i for i in range(points)]
     scale = math.sqrt(2.0 * math.pi)
 
     def height(mark: float) -> Column:
-        far = (F.lit(mark) - F.col("_x")) / F.col("_h")
+        far = F.try_divide(F.lit(mark) - F.col("_x"), F.col("_h"))
         return F.sum(F.exp(far * far * -0.5) * F.col("_n"))
 
     heights = attach(counts, width, [group], "_size", ["_x"]).groupBy(group, "_h", "_rows").agg(
         F.array(*[height(m) for m in marks]).alias("_all"))
     return heights.select(group, F.posexplode("_all").alias("point", "_sum"), "_h", "_rows").select(
-        group, "point", (F.lit(edge.lo) + F.lit(step) * F.col("point")).alias("x"),
-        (F.col("_sum") / (F.col("_rows") * F.col("_h") * scale)).alias("density"))
+        group, "point", (F.lit(low) + F.lit(step) * F.col("point")).alias("x"),
+        F.try_divide(F.col("_sum"), F.col("_rows") * F.col("_h") * scale).alias("density"))
 
 
 def row_mean(names: Sequence[str]) -> Column:

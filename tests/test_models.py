@@ -185,3 +185,37 @@ def test_zoo_defaults_are_the_published_ones():
     assert first["rf"].params["n_trees"] == 500 and first["gb"].params["max_depth"] == 5
     assert "lg" in zoo.first_layer("logistic") and "bg" in zoo.second_layer()
     assert len(zoo.search_grids()["DecisionTree"]) == 12
+
+
+def test_online_models_do_not_depend_on_partitions(spark):
+    """The same rows in any layout give the same weights."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    from pyspark.ml.linalg import Vectors
+    rows = [(i, Vectors.dense(x), float(x[0] - x[1] > 0.2)) for i, x in enumerate(rng.normal(size=(300, 3)))]
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    for build in (linear.PassiveAggressive, linear.SubgradientLinear):
+        one, many = build().fit(df.coalesce(1)), build().fit(df.repartition(7))
+        assert np.allclose(one.weights, many.weights) and one.transform(df).where("prediction = label").count() > 270
+
+
+def test_wide_moments_equal_narrow_ones(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(2)
+    rows = [(i, Vectors.dense([*x, 1.0]), float(i % 3 == 0)) for i, x in enumerate(rng.normal(size=(200, 4)))]
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    narrow = closed_form._moments(df)
+    monkeypatch.setattr(closed_form, "MAX_WIDTH", 2)
+    wide = closed_form._moments(df)
+    assert all(narrow[k][0] == wide[k][0] and np.allclose(narrow[k][1], wide[k][1]) and np.allclose(narrow[k][2], wide[k][2])
+               for k in narrow)
+
+
+def test_curves_use_margins(spark):
+    from pyspark.ml.linalg import Vectors
+    from tablesmith.models import base
+    df = spark.createDataFrame([(i, Vectors.dense([float(i), 1.0]), float(i > 6)) for i in range(20)], ["id", "features", "label"])
+    for build in (linear.HingeSvc(), closed_form.RidgeClassifier()):
+        ranks = base.predict(build.fit(df), df, "p", ranking="r").select("r").distinct().count()
+        assert ranks > 10

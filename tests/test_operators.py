@@ -280,3 +280,55 @@ def test_csv_keeps_doubled_quotes(spark, tmp_path):
                     '1,3,"O""Dwyer, Miss. Ellen ""Nellie""",female,,0,0,330959,7.8792,,Q\n')
     row = files.read_csv(spark, str(path), files.PASSENGER_SCHEMA).first()
     assert row.Name == 'O"Dwyer, Miss. Ellen "Nellie"' and row.Age is None and row.Cabin is None
+
+
+def test_draws_are_independent(spark):
+    """Ten 30 % test sets overlap like independent ones; bag weights do not vary together."""
+    n = 20000
+    got = splits.shuffle_split(spark.range(n), "id", draws=10).select(
+        *[(F.col(f"draw_{i}") == "test").cast("int").alias(f"t{i}") for i in range(10)])
+    pairs = [(i, j) for i in range(10) for j in range(i)]
+    row = got.agg(*[F.sum(F.col(f"t{i}") * F.col(f"t{j}")) for i, j in pairs]).first()
+    assert all(abs(x - 0.09 * n) < 5 * (0.3 * 0.7 * n ** 0.5) for x in row)
+    bags = spark.range(n).select(*[splits.bootstrap_weight(F.col("id"), i).alias(f"b{i}") for i in range(5)])
+    row = bags.agg(*[F.covar_pop(f"b{i}", f"b{j}") for i in range(5) for j in range(i)]).first()
+    assert all(abs(x) < 5 / n ** 0.5 for x in row)
+
+
+def test_draws_use_all_bits_of_the_key(spark):
+    from tablesmith.functions.seeded import uniform
+    keys = spark.range(2000).select(*[uniform(F.col("id") + F.lit(shift), 1).alias(f"u{i}")
+                                      for i, shift in enumerate((0, 2 ** 31, 2 ** 62, -(2 ** 63)))])
+    row = keys.agg(*[F.corr("u0", f"u{i}") for i in (1, 2, 3)]).first()
+    assert all(abs(x) < 0.1 for x in row)
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("int", [10, 2, 1, -5]), ("bigint", [2 ** 40, 3, -1]), ("float", [0.1, 10.5, 2.25, float("nan")]), ("double", [10.0, 2.0, -1.5]),
+    ("decimal(10,2)", ["10.00", "2.00", "1.50"]), ("date", ["2024-01-10", "2024-01-02"]), ("boolean", [True, False]),
+    ("timestamp", ["2024-01-10 00:00:00", "2024-01-02 10:00:00.5"]), ("string", ["b", "a", "é", "Z", ""])])
+def test_codes_and_dummies_of_every_type(spark, kind, values):
+    source = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)] + [(99, None)], "id long, v string")
+    df = source.withColumn("v", F.col("v").cast(kind)).withColumn("other", F.col("id"))
+    near = {r.id: r.c for r in encode.label_codes(df, {"v": "c"}, "id", by=()).collect()}
+    far = {r.id: r.c for r in encode.label_codes(df, {"v": "c"}, "id", by=(), literal_limit=1).collect()}
+    ranks = {r.id: r.k for r in df.where("v IS NOT NULL").selectExpr("id", "dense_rank() OVER (ORDER BY v) - 1 AS k").collect()}
+    assert near == far == {**ranks, 99: None}
+    flags = encode.dummies(df.select("id", "v"), ["v"], numbered=True).collect()
+    assert all(sum(r[1:]) == (r.id != 99) and (r.id == 99 or r[1 + ranks[r.id]] == 1) for r in flags)
+
+
+def test_one_wide_column_does_not_change_the_others(spark):
+    df = spark.range(200).select("id", (F.col("id") % 3).cast("decimal(10,1)").alias("a"), F.col("id").cast("string").alias("b"))
+    got = encode.label_codes(df, {"a": "ca", "b": "cb"}, "id", by=()).collect()
+    assert all(r.ca == r.id % 3 for r in got) and {r.cb for r in got} == set(range(200))
+
+
+def test_degenerate_statistics(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 1.0), ("b", 3.0)], "g string, x double")
+    rows = stats.kernel_density(df, "g", "x", points=5).collect()
+    assert all((r.density is None) == (r.g == "a") for r in rows) and len(rows) == 10
+    assert stats.kernel_density(df.limit(0), "g", "x").count() == 0
+    assert [r.null_fraction for r in profile.nulls(df.limit(0)).collect()] == [None, None]
+    got = ordering.quantiles(spark.range(1000), [], {"m": ("id", 0.5)}, distinct_limit=10, size="n").first()
+    assert (got.m, got.n) == (499.5, 1000)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablesmith.functions.seeded import INCREMENT, MODULUS, MULTIPLIER, SEED_STRIDE
+from tablesmith.functions.seeded import HIGH_BITS, LAST_SHIFT, MODULUS, ROUNDS, SEED_STEPS
 from tablesmith.plans.recipes import Roles
 from tablesmith.sources.files import read_table
 
@@ -120,10 +120,15 @@ m AS (
 
 def scramble_sql(key: str, seed: str | int = 0) -> str:
     """SQL twin of ``tablesmith.functions.seeded.scramble``."""
-    base = f"((({key}) % {MODULUS}) * {MULTIPLIER} + {INCREMENT}) % {MODULUS}"
-    swapped = f"(({base}) >> 15) + (({base}) % 32768) * 65536"
-    mixed = f"(({swapped}) + CAST({seed} AS BIGINT) * {SEED_STRIDE}) % {MODULUS}"
-    return f"((({mixed}) * {MULTIPLIER} + {INCREMENT}) % {MODULUS})"
+    mask = MODULUS - 1
+    high = f"(((({key}) >> 31) & {mask}) * {HIGH_BITS[0]} + ((({key}) >> 62) & 3) * {HIGH_BITS[1]})"
+    x = f"(({key}) & {mask})"
+    for i, ((shift, factor), (step, start)) in enumerate(zip(ROUNDS, SEED_STEPS)):
+        own = (int(seed) % MODULUS * step + start) & mask if isinstance(seed, int) \
+            else f"((CAST({seed} AS BIGINT) % {MODULUS} * {step} + {start}) & {mask})"
+        x = f"(({x} + {own}{f' + ({high} & {mask})' if i == 1 else ''}) & {mask})"
+        x = f"((xor({x}, {x} >> {shift}) * {factor}) & {mask})"
+    return f"xor({x}, {x} >> {LAST_SHIFT})"
 
 
 def uniform_sql(key: str, seed: str | int = 0) -> str:

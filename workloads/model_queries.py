@@ -133,12 +133,12 @@ def model_decision_tree(spark, sf):
 
 @query("model_random_forest")
 def model_random_forest(spark, sf):
-    return fitted(spark, sf, zoo.random_forest(n_trees=50))
+    return fitted(spark, sf, zoo.random_forest())
 
 
 @query("model_extra_trees")
 def model_extra_trees(spark, sf):
-    return fitted(spark, sf, zoo.extra_trees(n_trees=50))
+    return fitted(spark, sf, zoo.extra_trees())
 
 
 @query("model_bagging")
@@ -168,17 +168,17 @@ def model_logistic(spark, sf):
 
 @query("model_logistic_cv")
 def model_logistic_cv(spark, sf):
-    return fitted(spark, sf, linear.LogisticCV(Cs=(0.01, 1.0, 100.0), k=3, max_iter=25))
+    return fitted(spark, sf, linear.LogisticCV())
 
 
 @query("model_linear_svc")
 def model_linear_svc(spark, sf):
-    return fitted(spark, sf, linear.hinge_svc(max_iter=20))
+    return fitted(spark, sf, linear.hinge_svc())
 
 
 @query("model_poly_svc")
 def model_poly_svc(spark, sf):
-    return fitted(spark, sf, zoo.polynomial_svc(max_iter=10))
+    return fitted(spark, sf, zoo.polynomial_svc())
 
 
 @query("model_sgd_linear")

@@ -41,13 +41,9 @@ def split_holdout(spark, sf):
 
 
 def poisson_sql(u: str) -> str:
-    import math
-    mass, total, arms = math.exp(-1.0), 0.0, []
-    for count in range(12):
-        total += mass
-        mass /= count + 1
-        arms.append(f"WHEN {u} < {total!r} THEN {count}")
-    return "CASE " + " ".join(arms) + " ELSE 12 END"
+    steps = splits.poisson_steps()
+    arms = [f"WHEN u < {total!r} THEN {count}" for count, total in enumerate(steps)]
+    return f"(SELECT CASE {' '.join(arms)} ELSE {len(steps)} END FROM (SELECT {u} AS u))"
 
 
 @query("split_bootstrap", "SELECT o_orderkey, " + ", ".join(
