@@ -138,7 +138,7 @@ def draw_role_sql(draw: int) -> str:
             "THEN 'train' ELSE 'unused' END AS role FROM d WHERE label IS NOT NULL")
 
 
-@query("sel_cross_validate", D + ", y AS (" + " UNION ALL ".join(draw_role_sql(i) for i in range(3)) + "),"
+@query("sel_cross_validate", D + ", y AS (" + " UNION ALL ".join(draw_role_sql(i) for i in range(10)) + "),"
        " t AS (SELECT * FROM y WHERE role = 'train'), x AS (SELECT * FROM y WHERE role <> 'unused'), "
        + gaussian_sql("x", "t", "x.g = st.g") + """,
 a AS (SELECT x.g, role, avg(CAST(prediction = label AS INTEGER)) AS hit FROM pr JOIN x ON x.id = pr.id AND x.g = pr.g
@@ -149,7 +149,7 @@ SELECT 'nb' AS name, 'gaussian_nb()' AS parameters, round(avg(hit) FILTER (role
 def sel_cross_validate(spark, sf):
     train, _ = train_test(spark, sf)
     candidates = {"nb": Pinned("gaussian_nb", closed_form.GaussianNB)}
-    found = selection.cross_validate(candidates, train, selection.draws(train, n=3))
+    found = selection.cross_validate(candidates, train, selection.draws(train))
     return rounded(_metrics(selection.metric_table(train, found)), "train_mean", "test_mean", "test_3std", "test_min")
 
 
@@ -170,8 +170,8 @@ TREE = Pinned("decision_tree", trees.decision_tree)
 @query("sel_grid_search")
 def sel_grid_search(spark, sf):
     train, _ = train_test(spark, sf)
-    grid = selection.grid(criterion=["gini", "entropy"], max_depth=[2, 4])
-    best, found = selection.grid_search(TREE, grid, train, selection.draws(train, n=2))
+    grid = selection.grid(criterion=zoo.CRITERIA, max_depth=zoo.DEPTHS)
+    best, found = selection.grid_search(TREE, grid, train, selection.draws(train))
     return _metrics(selection.metric_table(train, found)).withColumn("best", F.col("parameters") == repr(best))
 
 
@@ -213,7 +213,7 @@ def sel_tuned_voting(spark, sf):
 @query("sel_rfe_cv")
 def sel_rfe_cv(spark, sf):
     train, _ = train_test(spark, sf)
-    kept, means = selection.eliminate_features(trees.decision_tree(max_depth=4), train, selection.draws(train, n=2))
+    kept, means = selection.eliminate_features(trees.decision_tree(max_depth=4), train, selection.draws(train))
     rows = [(n, float(m), n == len(kept)) for n, m in means.items()]
     names = ",".join(FEATURES[i] for i in kept)
     return (spark.createDataFrame(rows, "n_features int, test_mean double, chosen boolean")
