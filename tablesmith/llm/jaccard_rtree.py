@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -115,7 +114,7 @@ def sketch(docs: DataFrame, threshold: Threshold, n: int = SHINGLE) -> DataFrame
     """doc_id, n_shingles, node (the name of the set) and keys of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             sizes, nodes, keys = [], [], []
             for text in batch.column("text"):
                 shingles = shingle_set(text.as_py(), hashes, n)
@@ -199,7 +198,7 @@ def links(docs: DataFrame, points: DataFrame, found: DataFrame, t: Threshold, n:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             found = [shingle_set(text.as_py(), hashes, n) for text in batch.column("text")]
             own = [signature(s) == node for s, node in zip(found, batch.column("node").to_pylist())]  # not so if ids repeat
             rows = pa.RecordBatch.from_arrays(

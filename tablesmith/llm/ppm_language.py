@@ -57,7 +57,7 @@ def _count_grams(langs: list[str]):
     index = {lang: i for i, lang in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 128) for whole in batches for at in range(0, whole.num_rows, 128)):
             held: dict[tuple[int, int], list[np.ndarray]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 data = np.frombuffer(PAD + text.encode("utf-8", "surrogatepass"), np.uint8)

@@ -24,7 +24,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """word bytes -> 64-bit hash; forgets everything once it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
