@@ -109,11 +109,6 @@ class Codec:
             out += [np.frombuffer(b"".join([known[c] for c in chunks]), np.int32) for chunks in group]
         return out
 
-    def forget(self) -> None:
-        """Give the caches' memory back; a worker goes on to other work after its task."""
-        self.chunks.clear()
-        self.pieces.clear()
-
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes behind the ids."""
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
@@ -134,7 +129,7 @@ _CODECS: dict[int, Codec] = {}
 
 
 def codec_of(shared) -> Codec:
-    """The worker's codec for a broadcast specification."""
+    """The task's codec for a broadcast specification."""
     if id(shared.value) not in _CODECS:
         _CODECS.clear()
         _CODECS[id(shared.value)] = Codec(shared.value)
@@ -171,7 +166,7 @@ def encode(docs: DataFrame, spec: dict, text: str = "text", offsets: bool = Fals
                 pairs = [codec.offsets(i) if len(i) else (i, i) for i in ids]
                 extra += [pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *extra], [*kept, *added])
-        codec.forget()
+        _CODECS.clear()  # a worker goes on to other work after its task
 
     schema = ", ".join([*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept],
                         *[f"{c} array<int>" for c in added]])
@@ -226,7 +221,7 @@ def round_trip(docs: DataFrame, spec: dict) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(id_sums), pa.array(byte_sums)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        codec.forget()
+        _CODECS.clear()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

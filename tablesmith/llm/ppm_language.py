@@ -215,6 +215,7 @@ def predict(docs: DataFrame, model: Statistics) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(best, pa.string()), pa.array(sure, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"])
+        _CODERS.clear()  # a worker goes on to other work after its task
 
     return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
         run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
@@ -234,5 +235,6 @@ def accepted(docs: DataFrame, model: Statistics, least: float = 0.5) -> DataFram
         for batch in batches:
             best, sure = _verdicts(coder, shared.value.langs, batch.column("text"))
             yield batch.filter(pa.array([b != UNKNOWN and s >= least for b, s in zip(best, sure)], pa.bool_()))
+        _CODERS.clear()
 
     return docs.mapInArrow(run, docs.schema)
