@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models
 
+from tablesmith.llm.storage import small_batches
+
 CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 # Unicode white space beyond ASCII can join a white-space run; such texts are not cut.
 OTHER_SPACE = re.compile("[" + "".join(map(chr, [
@@ -170,7 +172,7 @@ def encode(docs: DataFrame, spec: dict, text: str = "text", offsets: bool = Fals
 
     schema = ", ".join([*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept],
                         *[f"{c} array<int>" for c in added]])
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, spec: dict) -> DataFrame:
@@ -193,7 +195,7 @@ def decode(rows: DataFrame, spec: dict) -> DataFrame:
                                               pa.array(text, pa.string())], [*kept, "data", "text"])
 
     schema = ", ".join([*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept], "data binary, text string"])
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, spec: dict) -> DataFrame:
@@ -223,5 +225,5 @@ def round_trip(docs: DataFrame, spec: dict) -> DataFrame:
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         _CODECS.clear()
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

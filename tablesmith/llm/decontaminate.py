@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tablesmith.llm.storage import saved
+from tablesmith.llm.storage import saved, small_batches
 from tablesmith.llm.words import GOLDEN, mix, plain_words
 
 SEED_WORDS = 4
@@ -127,7 +127,7 @@ def _windows(docs: DataFrame, shared) -> DataFrame:
                     ["doc_id", "item", "start", "seeds", "words"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, item int, start int, seeds array<long>, words array<int>")
 
 

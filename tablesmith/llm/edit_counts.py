@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablesmith.llm.byte_bpe import OTHER_SPACE, Codec, codec_of
+from tablesmith.llm.storage import small_batches
 
 LEAF = 512
 ASCII_SPACE = " \t\n\r\x0b\x0c"
@@ -147,7 +148,7 @@ def _map(rows: DataFrame, run, dropped: list[str], schema: str) -> DataFrame:
                 batch = whole.slice(at, 512)
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *run(batch)], [*kept, *added])
 
-    return rows.mapInArrow(batches, ", ".join([*fields, schema]))
+    return small_batches(rows).mapInArrow(batches, ", ".join([*fields, schema]))
 
 
 def build(docs: DataFrame, spec: dict) -> DataFrame:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablesmith.llm.labelled import remainder, sample
+from tablesmith.llm.storage import small_batches
 from tablesmith.llm.words import GOLDEN, MIX_1, WordHashes, mix, plain_words
 
 BITS = 20
@@ -124,7 +125,7 @@ def score(docs: DataFrame, weights: Weights, threshold: float = 0.5) -> DataFram
                  pa.array((sure >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
-    return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
+    return small_batches(docs).select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
         run, f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablesmith.llm.components import components
-from tablesmith.llm.storage import saved
+from tablesmith.llm.storage import saved, small_batches
 from tablesmith.llm.words import GOLDEN, MIX_1, WordHashes, ascii_words, mix, ngram_hashes
 
 SHINGLE = 3
@@ -126,7 +126,7 @@ def sketch(docs: DataFrame, threshold: Threshold, n: int = SHINGLE) -> DataFrame
                  pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "node", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_shingles long, node long, keys array<long>")
 
 

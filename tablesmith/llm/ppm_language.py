@@ -18,6 +18,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablesmith.llm.storage import small_batches
+
 UNKNOWN = "und"
 ORDER = 3
 ALPHABET = 128
@@ -87,7 +89,7 @@ def train(docs: DataFrame, max_documents: int = 1500, max_contexts: int = 16384)
         return Statistics([], np.zeros((0, 4), np.int64), max_contexts)
     rates = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, max_documents / n)))])
     sample = rows.where(keep_rate(F.col("doc_id"), F.element_at(rates, F.col("lang")), 2)).select("lang", "text")
-    grams = (sample.mapInArrow(_count_grams(langs), "l int, o int, gram long, c long")
+    grams = (small_batches(sample).mapInArrow(_count_grams(langs), "l int, o int, gram long, c long")
              .groupBy("l", "o", "gram").agg(F.sum("c").alias("c")).toArrow())
     columns = [grams.column(n).to_numpy() for n in ("l", "o", "gram", "c")]
     return Statistics(langs, np.stack(columns, 1).astype(np.int64), max_contexts)
@@ -217,7 +219,7 @@ def predict(docs: DataFrame, model: Statistics) -> DataFrame:
                 ["doc_id", "held_out", "lang_pred", "score"])
         _CODERS.clear()  # a worker goes on to other work after its task
 
-    return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
+    return small_batches(docs).select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
         run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
@@ -237,4 +239,4 @@ def accepted(docs: DataFrame, model: Statistics, least: float = 0.5) -> DataFram
             yield batch.filter(pa.array([b != UNKNOWN and s >= least for b, s in zip(best, sure)], pa.bool_()))
         _CODERS.clear()
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tablesmith.session import shared_folder
 
 
+# Whole texts make batches of the default row count large, once in the JVM and twice in Python.
+BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends batches of at most the two limits to Python workers from now on."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """An unused path below the shared folder; it is not created yet."""
     return f"{shared_folder(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"

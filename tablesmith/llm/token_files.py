@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer, normalizers
 
 from tablesmith.llm.byte_bpe import byte_characters
-from tablesmith.llm.storage import new_folder, saved
+from tablesmith.llm.storage import new_folder, saved, small_batches
 
 # Fixed values of the public seekable format.
 SEEK_MAGIC = 0x8F92EAB1
@@ -220,7 +220,7 @@ def write_files(docs: DataFrame, tokenizer_json: str, end_id: int, folder: str |
                  pa.array([writer.n_documents]), pa.array([writer.n_ids])],
                 ["part", "uri", "n_documents", "n_ids"])
 
-    return saved(rows.mapInArrow(run, "part long, uri string, n_documents long, n_ids long"), "token-manifest")
+    return saved(small_batches(rows).mapInArrow(run, "part long, uri string, n_documents long, n_ids long"), "token-manifest")
 
 
 def read_files(manifest: DataFrame) -> DataFrame:

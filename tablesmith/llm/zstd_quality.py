@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tablesmith.llm.labelled import remainder, sample
-from tablesmith.llm.storage import saved
+from tablesmith.llm.storage import saved, small_batches
 
 PIECE = 1024
 SHORT = 64
@@ -127,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = 12_000, dicti
             x = [packers.difference(t.as_py())[0] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column("label")], ["x", "y"])
 
-    points = rows.where("curve").select("text", "label").mapInArrow(measure, "x double, y int").toArrow()
+    points = small_batches(rows).where("curve").select("text", "label").mapInArrow(measure, "x double, y int").toArrow()
     x, y = points.column("x").to_numpy(), points.column("y").to_numpy().astype(float)
     if not len(x):
         return Quality(good, bad, 0.0, 0.0, 0.0, level)
@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: Quality, threshold: float = 0.7) -> DataFrame:
                  pa.array((sure >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
-    return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
+    return small_batches(docs).select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
         run, f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
@@ -173,7 +173,7 @@ def accepted(docs: DataFrame, model: Quality, threshold: float = 0.5) -> DataFra
             found = np.array([packers.difference(t.as_py()) for t in batch.column("text")], float).reshape(-1, 2)
             yield batch.filter(pa.array(m.probability(found[:, 0], found[:, 1]) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
