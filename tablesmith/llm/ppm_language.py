@@ -25,6 +25,7 @@ ORDER = 3
 ALPHABET = 128
 PAD = b"\n" * ORDER
 SLICE = 1 << 19
+CONTEXTS = 512
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -131,26 +132,24 @@ class Coder:
         kept = [np.zeros(1, np.int64), np.arange(size)] + [ids[t > floor] for t, ids in totals]
 
         base = np.full((1, size, n_langs), 8.0, np.float32)
-        tables, suffix_rows, start, state = [], np.zeros(1, np.int64), 0, None
+        bits = np.zeros((sum(map(len, kept)), size, n_langs), np.float32)
+        start, state = 0, None
         for order in range(ORDER + 1):
             lang, context, byte, count = coded(order)
             ids = kept[order]
-            seen = np.zeros((len(ids), size, n_langs), np.float32)
-            if len(ids):
-                at = np.searchsorted(ids, context)
-                ok = ids[np.minimum(at, len(ids) - 1)] == context
-                np.add.at(seen, (at[ok], byte[ok], lang[ok]), count[ok].astype(np.float32))
-            total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
-            if order == 0:
-                below = base
-            else:
-                below = np.concatenate(tables)[state[ids % size ** (order - 1)]]
-            whole = np.maximum(total + kinds, 1)
-            with np.errstate(divide="ignore"):
-                known = -np.log2(seen / whole)
-                escape = -np.log2(np.maximum(kinds, 1) / whole)
-            table = np.where(total == 0, below, np.where(seen > 0, known, escape + below))
-            tables.append(table.astype(np.float32))
+            at = np.searchsorted(ids, context)
+            ok = ids[np.minimum(at, max(len(ids) - 1, 0))] == context if len(ids) else np.zeros(len(context), bool)
+            table = bits[start:start + len(ids)]  # a view
+            np.add.at(table, (at[ok], byte[ok], lang[ok]), count[ok].astype(np.float32))
+            for low in range(0, len(ids), CONTEXTS):  # counts become costs a few contexts at a time
+                seen, mine = table[low:low + CONTEXTS], ids[low:low + CONTEXTS]
+                below = base if order == 0 else bits[state[mine % size ** (order - 1)]]
+                total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
+                whole = np.maximum(total + kinds, 1)
+                with np.errstate(divide="ignore"):
+                    known = -np.log2(seen / whole)
+                    escape = -np.log2(np.maximum(kinds, 1) / whole)
+                seen[:] = np.where(total == 0, below, np.where(seen > 0, known, escape + below))
             if order == 0:
                 state = np.zeros(1, np.int32)
             else:
@@ -159,7 +158,7 @@ class Coder:
                 state = longer
             start += len(ids)
         self.state = state.astype(np.int32)
-        self.bits = np.concatenate(tables).reshape(-1, n_langs)
+        self.bits = bits.reshape(-1, n_langs)
 
     def lengths(self, text: str) -> np.ndarray:
         """Exact code length in bits of the whole text under every language."""
