@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tablesmith.llm.storage import saved, small_batches
+from tablesmith.llm.storage import beside_texts, saved, small_batches
 from tablesmith.llm.words import GOLDEN, mix, plain_words
 
 SEED_WORDS = 4
@@ -206,4 +206,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least:
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no test item; rows with a null id stay."""
     leaked = overlaps(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(beside_texts(leaked), "doc_id", "left_anti").select(*docs.columns)

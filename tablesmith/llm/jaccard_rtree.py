@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablesmith.llm.components import components
-from tablesmith.llm.storage import saved, small_batches
+from tablesmith.llm.storage import beside_texts, saved, small_batches
 from tablesmith.llm.words import GOLDEN, MIX_1, WordHashes, ascii_words, mix, ngram_hashes
 
 SHINGLE = 3
@@ -207,7 +207,7 @@ def links(docs: DataFrame, points: DataFrame, found: DataFrame, t: Threshold, n:
                 ["component", "node", "blocks", "shingles"])
             yield rows.filter(pa.array(own, pa.bool_()))
 
-    ready = (docs.select("doc_id", "text").join(one, "doc_id").select("component", "node", "blocks", "text")
+    ready = (docs.select("doc_id", "text").join(beside_texts(one), "doc_id").select("component", "node", "blocks", "text")
              .mapInArrow(sets, "component long, node long, blocks int, shingles array<long>")
              .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")))
     # every block meets itself and every other one once: (i, j), i <= j

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablesmith.session import shared_folder
 
@@ -12,6 +12,7 @@ from tablesmith.session import shared_folder
 # Whole texts make batches of the default row count large, once in the JVM and twice in Python.
 BATCH_ROWS = 2000
 BATCH_BYTES = 4 << 20
+BROADCAST_ROWS = 16_384
 
 
 def small_batches(df: DataFrame) -> DataFrame:
@@ -35,3 +36,13 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def beside_texts(side: DataFrame) -> DataFrame:
+    """A table of ids and numbers, written and hinted for a join with whole texts.
+
+    Up to ``BROADCAST_ROWS`` rows it goes to the texts. Beyond, both sides are partitioned by the
+    key and this one is hashed, so that the texts are shuffled but need no sort.
+    """
+    side = saved(side, "side")
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side.hint("shuffle_hash")
