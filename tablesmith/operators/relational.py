@@ -65,13 +65,16 @@ def group_sizes(df: DataFrame, keys: Sequence[str], output: str) -> DataFrame:
 
 
 def table_bytes(df: DataFrame) -> tuple[int, dict]:
-    """(row count, {column: total bytes}): text and arrays measured, other values taken as 16."""
+    """(row count, {column: total bytes}): text and binary measured, nested values and vectors by
+    four times their text (a digit may stand for a long), other values taken as 16."""
     def width(name: str, kind: str) -> Column:
-        if kind == "string":
+        if kind in ("string", "binary"):
             return F.octet_length(name)
-        return F.size(name) * 16 if kind.startswith("array") else F.lit(16)
+        if kind.startswith(("array", "map", "struct", "vector", "udt", "char", "varchar", "variant")):
+            return F.octet_length(F.col(name).cast("string")) * 4 + 16
+        return F.lit(16)
 
-    sizes = {n: F.coalesce(F.sum(width(n, t)), F.lit(0)) for n, t in df.dtypes}
+    sizes = {n: F.coalesce(F.sum(width(n, t).cast("long")), F.lit(0)) for n, t in df.dtypes}
     row = df.agg(F.count(F.lit(1)).alias("_count"), *[e.alias(n) for n, e in sizes.items()]).first()
     return row["_count"], {n: row[n] for n in df.columns}
 
@@ -82,10 +85,11 @@ def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, spr
 
     ``groups`` has one row per key and its row count in ``size``. It is written once to the
     shared folder and measured. Up to ``broadcast_bytes`` it is broadcast and the rows stay
-    where they are. A larger one is cut in two: groups holding at least 1/HOT_SHARE of all
-    rows, of which there can be no more than HOT_SHARE, are broadcast; the others go through
-    an equi-join, where rows of hot groups and rows with a null key carry a hash of
-    ``spread_by`` as an extra key, so they match nothing and spread evenly.
+    where they are. A larger one goes through an equi-join on the key and a salt. A group that
+    holds at least 1/HOT_SHARE of all rows is repeated under one salt per such share, and a hash
+    of ``spread_by`` picks the salt of a row; the only thing broadcast are the key hashes and salt counts
+    of these groups, at most HOT_SHARE rows of two numbers. Rows with a null key match nothing
+    and spread evenly.
     """
     values = [c for c in groups.columns if c not in keys and c != size]
     groups = durable(groups)
@@ -93,16 +97,19 @@ def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, spr
     if sum(n_bytes.values()) <= broadcast_bytes:
         return df.join(F.broadcast(groups.drop(size)), list(keys), "left").select(*df.columns, *values)
     n_rows = groups.agg(F.sum(size)).first()[0]
-    is_hot = F.col(size) * HOT_SHARE >= F.lit(n_rows)
-    hot = groups.where(is_hot).select(*keys, F.struct(*values).alias("_hot"))
-    cold = groups.where(~is_hot).select(
-        *keys, F.lit(0).cast("long").alias("_spread"), F.struct(*values).alias("_cold"))
-    apart = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
-    spread = F.when(apart, F.xxhash64(*spread_by).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
-    return (df.join(F.broadcast(hot), list(keys), "left")
-            .withColumn("_spread", spread)
-            .join(cold, [*keys, "_spread"], "left")
-            .select(*df.columns, F.coalesce("_hot", "_cold").alias("_found"))
+    share = F.col(size) * HOT_SHARE / F.lit(n_rows)
+    groups = groups.withColumns({k: F.col(k).cast(df.schema[k].dataType) for k in keys})  # equal values, equal hashes
+    name = F.xxhash64(*keys)
+    marks = F.broadcast(groups.where(share >= 1).groupBy(name.alias("_name")).agg(F.max(F.ceil(share)).alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1).cast("long"))
+    salted = (groups.withColumn("_name", name).join(marks, "_name", "left")
+              .withColumn("_spread", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+              .select(*keys, "_spread", F.struct(*values).alias("_found")))
+    apart = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    turn = F.xxhash64(*spread_by)
+    return (df.withColumn("_name", name).join(marks, "_name", "left")
+            .withColumn("_spread", F.when(apart, -1 - F.pmod(turn, F.lit(1 << 40))).otherwise(F.pmod(turn, salts)))
+            .join(salted, [*keys, "_spread"], "left")
             .select(*df.columns, *[F.col("_found")[v].alias(v) for v in values]))
 
 

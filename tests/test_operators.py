@@ -332,3 +332,27 @@ def test_degenerate_statistics(spark):
     assert [r.null_fraction for r in profile.nulls(df.limit(0)).collect()] == [None, None]
     got = ordering.quantiles(spark.range(1000), [], {"m": ("id", 0.5)}, distinct_limit=10, size="n").first()
     assert (got.m, got.n) == (499.5, 1000)
+
+
+def test_attach_salts_hot_groups_with_wide_values(spark):
+    df = skewed(spark).withColumn("g", F.when(F.col("id") % 11 == 0, None).otherwise(F.col("g")))
+    sizes = df.where("g IS NOT NULL").groupBy("g").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "wide", F.array_repeat(F.length("g"), 50)).withColumn("n", F.col("_n"))
+    got = relational.attach(df, sizes, ["g"], "_n", ["id"], broadcast_bytes=0)
+    want = df.toPandas().g.value_counts()
+    rows = got.toPandas()
+    assert got.columns == ["id", "g", "x", "wide", "n"] and len(rows) == 4000 and rows.id.is_unique
+    for g, part in rows.groupby("g", dropna=False):
+        if isinstance(g, str):
+            assert set(part.n) == {want[g]} and all(list(w) == [len(g)] * 50 for w in part.wide)
+        else:
+            assert part.n.isna().all()
+
+
+def test_table_bytes_measures_every_type(spark):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(1, "abc", bytearray(b"x" * 9), [1] * 100, {"k": "v" * 100}, Vectors.dense([0.5] * 100))],
+                               ["a", "s", "b", "l", "m", "v"])
+    n, size = relational.table_bytes(df)
+    assert n == 1 and (size["a"], size["s"], size["b"]) == (16, 3, 9)
+    assert min(size["l"], size["v"]) >= 800 and size["m"] >= 101
