@@ -1,11 +1,17 @@
 """Near-duplicate vectors by product quantisation over coarse inverted lists.
 
 Vectors of unit length go to the inverted list of their nearest coarse centroid; the residual is
-coded by the nearest codeword in each subspace. A query visits the nearest lists; the table of
-distances from its residual to all codewords gives the distance to a coded member as a
-sum of look-ups. A member is kept if that distance does not exceed the radius of the wanted
-cosine plus the member's own coding error (triangle inequality: no pair in a visited list is
-lost), and kept pairs are compared by exact cosine in double precision.
+coded by the nearest codeword in each subspace. A query visits every list that can hold a vector
+within the radius of the wanted cosine: a member is nearer to its list's centroid c than to the
+query's own centroid h, so c is left out only if the query is further than the radius from the
+plane halfway between c and h. The table of distances from its residual to all codewords gives
+the distance to a coded member as a sum of look-ups. A member is kept if that distance does not
+exceed the radius plus the member's own coding error (triangle inequality), and kept pairs are
+compared by exact cosine in double precision. No linked pair is lost, whatever the data's shape;
+where lists overlap much, the comparisons grow with the square of the vectors.
+
+Lists are packed into shelves of about BLOCK members; a query is sent once to each shelf that has
+a list it visits, and only to its own and later ones, so each pair of shelves meets once.
 """
 
 from __future__ import annotations
@@ -24,8 +30,10 @@ from tablesmith.llm.storage import saved
 SUBSPACES = 8
 CODEWORDS = 64
 MAX_LISTS = 4096
-BLOCK = 1024   # members of a list in one task
-CHUNK = 2048   # queries of a list in one task
+BLOCK = 4096   # members of a shelf in one task
+CHUNK = 4096   # queries of a shelf in one task
+SLICE = 256    # queries compared at a time
+SLACK = 1e-6   # rounding of distances
 
 
 def k_means(rows: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
@@ -97,22 +105,52 @@ def unit(rows: pa.Array) -> np.ndarray:
     return dense / np.sqrt((dense ** 2).sum(1, keepdims=True))
 
 
-def _index_rows(shared, probes: int):
+def visited(rows: np.ndarray, home: np.ndarray, lists: np.ndarray, radius: float) -> np.ndarray:
+    """Row x list: whether a member of the list can lie within ``radius`` of the row."""
+    d = distances(rows, lists)
+    own = lists[home]
+    gap = np.sqrt(np.maximum((own ** 2).sum(1)[:, None] + distances(own, lists), 0))
+    return d - d[np.arange(len(rows)), home][:, None] <= 2 * radius * gap + SLACK
+
+
+def shelves(lists: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Shelf of each list; neighbouring lists share one until it has about BLOCK members."""
+    anchors = k_means(lists, max(1, -(-int(sizes.sum()) // BLOCK)), 8, np.random.default_rng(1))
+    order = np.argsort(nearest_of(lists, anchors), kind="stable")
+    before = np.cumsum(sizes[order]) - sizes[order]
+    out = np.empty(len(lists), np.int64)
+    out[order] = before // BLOCK
+    return out
+
+
+def _homes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
+                home = nearest_of(unit(whole.slice(at, 4096).column("embedding")), shared.value.lists)
+                yield pa.RecordBatch.from_arrays([pa.array(home.astype(np.int32))], ["home"])
+
+    return run
+
+
+def _index_rows(shared, shelf: np.ndarray, radius: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        order = np.argsort(shelf, kind="stable")
+        names, starts = np.unique(shelf[order], return_index=True)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
                 rows = unit(batch.column("embedding"))
                 home, codes, error = index.encode(rows)
-                d = distances(rows, index.lists)
-                near = np.argpartition(d, probes - 1, 1)[:, :probes]
+                open_ = np.logical_or.reduceat(visited(rows, home, index.lists, radius)[:, order], starts, 1)
+                visits = [names[v & (names >= own)].astype(np.int32) for v, own in zip(open_, shelf[home])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("rep"), batch.column("copies"), pa.array(home.astype(np.int32)),
-                     pa.array(list(near.astype(np.int32)), pa.list_(pa.int32())),
+                     pa.array(shelf[home].astype(np.int32)), pa.array(visits, pa.list_(pa.int32())),
                      pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
                      pa.array([r.tobytes() for r in rows], pa.binary())],
-                    ["rep", "copies", "home", "probes", "codes", "error", "vector"])
+                    ["rep", "copies", "home", "shelf", "visits", "codes", "error", "vector"])
 
     return run
 
@@ -131,9 +169,22 @@ def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(shared, threshold: float):
-    radius = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+def _similar(q: np.ndarray, x: np.ndarray, maybe: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs that are ``maybe`` similar reach the cosine; close calls are summed pair by pair."""
+    out = np.zeros(maybe.shape, bool)
+    rows, cols = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
+    if len(rows):
+        part = np.ix_(rows, cols)
+        cosine = q[rows] @ x[cols].T
+        out[part] = maybe[part] & (cosine >= threshold + 1e-9)
+        close_q, close_x = np.nonzero(maybe[part] & (np.abs(cosine - threshold) < 1e-9))
+        for at in range(0, len(close_q), 4096):
+            i, j = rows[close_q[at:at + 4096]], cols[close_x[at:at + 4096]]
+            out[i, j] = np.einsum("ij,ij->i", q[i], x[j]) >= threshold
+    return out
+
 
+def _compare(shared, threshold: float, radius: float):
     def run(key: tuple, members: pa.Table, queries: pa.Table) -> pa.Table:
         empty = pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
         if not members.num_rows or not queries.num_rows:
@@ -144,45 +195,42 @@ def _compare(shared, threshold: float):
         wide = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.float64).reshape(len(c), -1)
         x, q = wide(members.column("vector")), wide(queries.column("q_vector"))
         codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(len(x), -1)
-        error, home = members.column("error").to_numpy(), queries.column("q_home").to_numpy()
-        probes = [set(p) for p in members.column("probes").to_pylist()]
-        residual, parts = q - index.lists[here], index.parts()
-        pairs_q, pairs_m = [], []
-        for at in range(0, len(q), 256):
-            total = np.zeros((len(q[at:at + 256]), len(x)))
-            for s, part in enumerate(parts):
-                words = index.codewords[s]
-                r = residual[at:at + 256, part]
-                table = ((r[:, None, :] - words[None]) ** 2).sum(2)  # query x codeword
-                total += table[:, codes[:, s]]
-            rows, cols = np.nonzero(np.sqrt(total) <= radius + error)
-            rows += at
-            keep = q_id[rows] != m_id[cols]
-            rows, cols = rows[keep], cols[keep]
-            sure = np.einsum("ij,ij->i", q[rows], x[cols]) >= threshold
-            pairs_q.append(rows[sure])
-            pairs_m.append(cols[sure])
-        a, b = np.concatenate(pairs_q), np.concatenate(pairs_m)
-        if not len(a):
-            return empty
-        links_q = np.zeros(len(q), np.int64)
-        np.add.at(links_q, a, m_copies[b])
-        # the member finds this link itself where it visits the query's list; otherwise it counts here
-        unseen = np.array([home[i] not in probes[j] for i, j in zip(a, b)], bool)
-        links_m = np.zeros(len(x), np.int64)
-        np.add.at(links_m, b[unseen], q_copies[a[unseen]])
+        error, home = members.column("error").to_numpy(), members.column("home").to_numpy()
+        q_home = queries.column("q_home").to_numpy()
+        # a query of this shelf is a member of it too and is counted there; a guest's links count on both sides
+        guest = queries.column("q_shelf").to_numpy() != here
         nodes, where = np.unique(np.concatenate([q_id, m_id]), return_inverse=True)
-        root = nodes[_spanning(len(nodes), where[a], where[len(q) + b])]
-        total = np.zeros(len(nodes), np.int64)
-        np.add.at(total, where[:len(q)], links_q)
-        np.add.at(total, where[len(q):], links_m)
-        used = (total > 0) | (root != nodes)
-        return pa.table({"id": nodes[used], "links": total[used], "root": root[used]})
+        node_q, node_m = where[:len(q)], where[len(q):]
+        links, label, parts = np.zeros(len(nodes), np.int64), np.arange(len(nodes)), index.parts()
+        held = [(c, np.flatnonzero(home == c)) for c in np.unique(home)]
+        for at in range(0, len(q), SLICE):
+            mask = visited(q[at:at + SLICE], q_home[at:at + SLICE], index.lists, radius)
+            for c, m in held:
+                near = at + np.flatnonzero(mask[:, c])
+                if not len(near):
+                    continue
+                residual, total = q[near] - index.lists[c], np.zeros((len(near), len(m)))
+                for s, part in enumerate(parts):
+                    table = ((residual[:, None, part] - index.codewords[s][None]) ** 2).sum(2)  # query x codeword
+                    total += table[:, codes[m, s]]
+                maybe = (np.sqrt(total) <= radius + error[m]) & (node_q[near][:, None] != node_m[m])
+                sure = _similar(q[near], x[m], maybe, threshold)
+                a, b = np.nonzero(sure)
+                if not len(a):
+                    continue
+                np.add.at(links, node_q[near], sure @ m_copies[m])
+                np.add.at(links, node_m[m], (q_copies[near] * guest[near]) @ sure)
+                low, high = label[node_q[near[a]]], label[node_m[m[b]]]
+                new = low != high
+                if new.any():
+                    label = _spanning(len(nodes), low[new], high[new])[label]
+        used = (links > 0) | (label != np.arange(len(nodes)))
+        return pa.table({"id": nodes[used], "links": links[used], "root": nodes[label[used]]})
 
     return run
 
 
-def link(vectors: DataFrame, threshold: float = 0.95, probes: int = 16, sample_rows: int = 20_000) -> DataFrame:
+def link(vectors: DataFrame, threshold: float = 0.95, sample_rows: int = 20_000) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vector (vec_id long, embedding array).
 
     The index is fitted on at most about ``sample_rows`` distinct vectors (a hash sample; with
@@ -196,7 +244,7 @@ def link(vectors: DataFrame, threshold: float = 0.95, probes: int = 16, sample_r
                  "vectors")
     found = None
     for dims, n in sorted(tuple(r) for r in reps.groupBy(F.size("embedding")).count().collect()):
-        part = _links(reps.where(F.size("embedding") == dims), n, threshold, probes, sample_rows)
+        part = _links(reps.where(F.size("embedding") == dims), n, threshold, sample_rows)
         found = part if found is None else found.union(part)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "id long, links long, root long")
@@ -218,8 +266,8 @@ def link(vectors: DataFrame, threshold: float = 0.95, probes: int = 16, sample_r
     return placed.union(unable).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _links(reps: DataFrame, n: int, threshold: float, probes: int, sample_rows: int) -> DataFrame:
-    """(id, links, root) found in every pair of a list block and a chunk of its queries."""
+def _links(reps: DataFrame, n: int, threshold: float, sample_rows: int) -> DataFrame:
+    """(id, links, root) found in every pair of a shelf block and a chunk of its queries."""
     spark = reps.sparkSession
     share = min(1.0, sample_rows / n)
     sample = (reps.where(F.pmod(F.xxhash64("embedding"), F.lit(1_000_000)) < 1e6 * share)
@@ -230,21 +278,25 @@ def _links(reps: DataFrame, n: int, threshold: float, probes: int, sample_rows:
     rows = rows[np.lexsort(rows.T)]  # the same order in every run
     index = fit(rows, max(1, min(MAX_LISTS, int(2 * math.sqrt(n)), len(rows) // 8)))
     shared = spark.sparkContext.broadcast(index)
-    probes = min(probes, len(index.lists))
-    coded = saved(reps.mapInArrow(_index_rows(shared, probes), "rep long, copies long, home int, probes array<int>, "
-                                  "codes binary, error double, vector binary"), "codes")
-    # at most MAX_LISTS rows of counts: how many blocks and chunks each list needs
-    members = coded.groupBy(F.col("home").alias("list")).agg(F.count(F.lit(1)).alias("m"))
-    visits = coded.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("v"))
-    plan = F.broadcast(members.join(visits, "list").select(
-        "list", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("v") / CHUNK).cast("int").alias("chunks")))
+    radius = math.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
+    sizes = np.zeros(len(index.lists), np.int64)
+    for home, count in reps.mapInArrow(_homes(shared), "home int").groupBy("home").count().collect():  # at most MAX_LISTS rows
+        sizes[home] = count
+    coded = saved(reps.mapInArrow(_index_rows(shared, shelves(index.lists, sizes), radius), "rep long, copies long, home int, "
+                                  "shelf int, visits array<int>, codes binary, error double, vector binary"), "codes")
+    # a row of counts for each shelf: how many blocks and chunks it needs
+    members = coded.groupBy("shelf").agg(F.count(F.lit(1)).alias("m"))
+    visits = coded.select(F.explode("visits").alias("shelf")).groupBy("shelf").agg(F.count(F.lit(1)).alias("v"))
+    plan = F.broadcast(members.join(visits, "shelf").select(
+        "shelf", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("v") / CHUNK).cast("int").alias("chunks")))
     spread = lambda salt, count: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(count)).cast("int")
-    left = (coded.withColumnRenamed("home", "list").join(plan, "list").withColumn("block", spread(1, "blocks"))
+    left = (coded.join(plan, "shelf").withColumn("block", spread(1, "blocks"))
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("list", "block", "chunk", "rep", "copies", "probes", "codes", "error", "vector"))
-    right = (coded.select("rep", "copies", "home", "vector", F.explode("probes").alias("list")).join(plan, "list")
-             .withColumn("chunk", spread(2, "chunks"))
+            .select("shelf", "block", "chunk", "rep", "copies", "home", "codes", "error", "vector"))
+    right = (coded.select("rep", "copies", "home", F.col("shelf").alias("own"), "vector", F.explode("visits").alias("shelf"))
+             .join(plan, "shelf").withColumn("chunk", spread(2, "chunks"))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select(*[F.col(c).alias(f"q_{c}") for c in ("list", "block", "chunk", "rep", "copies", "home", "vector")]))
-    return (left.groupBy("list", "block", "chunk").cogroup(right.groupBy("q_list", "q_block", "q_chunk"))
-            .applyInArrow(_compare(shared, threshold), "id long, links long, root long"))
+             .select(*[F.col(c).alias(f"q_{c}") for c in ("rep", "copies", "home", "vector")], F.col("own").alias("q_shelf"),
+                     F.col("shelf").alias("q_place"), F.col("block").alias("q_block"), F.col("chunk").alias("q_chunk")))
+    return (left.groupBy("shelf", "block", "chunk").cogroup(right.groupBy("q_place", "q_block", "q_chunk"))
+            .applyInArrow(_compare(shared, threshold, radius), "id long, links long, root long"))

@@ -109,6 +109,21 @@ def test_pq_links_equal_brute_force(spark):
     assert pq_dedup.link(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_pq_links_of_a_dense_group(spark):
+    """Every link of one group that holds a third of the vectors, spread over many lists."""
+    rng = np.random.default_rng(5)
+    centre, noise = rng.normal(size=64), rng.normal(size=(10_000, 64))
+    rows = rng.normal(size=(30_000, 64))
+    rows[:10_000] = centre / np.linalg.norm(centre) + 0.14 * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    want = np.concatenate([(unit[i:i + 1000] @ unit.T >= 0.95).sum(1) - 1 for i in range(0, 30_000, 1000)])
+    assert want[:10_000].min() > 5000
+    table = pa.table({"vec_id": np.arange(30_000), "embedding": pa.FixedSizeListArray.from_arrays(rows.ravel(), 64).cast(pa.list_(pa.float64()))})
+    got = pq_dedup.link(spark.createDataFrame(table)).toArrow().sort_by("vec_id")
+    assert (got.column("n_links").to_numpy() == want).all()
+    assert (got.column("component_id").to_numpy()[:10_000] == 0).all()
+
+
 # --- 2: language ---
 
 def test_language_held_out_accuracy(spark, sf):
