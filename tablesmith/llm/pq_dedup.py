@@ -203,16 +203,22 @@ def _compare(shared, threshold: float, radius: float):
         node_q, node_m = where[:len(q)], where[len(q):]
         links, label, parts = np.zeros(len(nodes), np.int64), np.arange(len(nodes)), index.parts()
         held = [(c, np.flatnonzero(home == c)) for c in np.unique(home)]
+        # |q - c - w|^2 = |q - c|^2 + (|w|^2 + 2 c w) - 2 q w: the middle term belongs to the member, and the
+        # tables of q w (query x codeword) serve every list
+        coded = np.hstack([index.codewords[s][codes[:, s]] for s in range(len(parts))])
+        own = (coded ** 2).sum(1) + 2 * np.einsum("ij,ij->i", coded, index.lists[home])
         for at in range(0, len(q), SLICE):
             mask = visited(q[at:at + SLICE], q_home[at:at + SLICE], index.lists, radius)
+            away = distances(q[at:at + SLICE], index.lists) + (q[at:at + SLICE] ** 2).sum(1)[:, None]
+            tables = [q[at:at + SLICE, part] @ words.T for part, words in zip(parts, index.codewords)]
             for c, m in held:
-                near = at + np.flatnonzero(mask[:, c])
-                if not len(near):
+                rows = np.flatnonzero(mask[:, c])
+                if not len(rows):
                     continue
-                residual, total = q[near] - index.lists[c], np.zeros((len(near), len(m)))
-                for s, part in enumerate(parts):
-                    table = ((residual[:, None, part] - index.codewords[s][None]) ** 2).sum(2)  # query x codeword
-                    total += table[:, codes[m, s]]
+                near, product = at + rows, np.zeros((len(rows), len(m)))
+                for k, table in enumerate(tables):
+                    product += table[rows].take(codes[m, k], 1)
+                total = np.maximum(away[rows, c][:, None] + own[m] - 2 * product, 0)
                 maybe = (np.sqrt(total) <= radius + error[m]) & (node_q[near][:, None] != node_m[m])
                 sure = _similar(q[near], x[m], maybe, threshold)
                 a, b = np.nonzero(sure)
