@@ -461,3 +461,31 @@ def test_pipeline_equals_its_operators(spark, sf):
     assert sorted(r.doc_id for r in got.collect()) == clean
     assert len(clean) < len(texts) and got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert corpus_pipeline.run(spark, sf).exceptAll(got).count() == 0
+
+
+def test_near_copy_stage_equals_brute_force(spark):
+    """One document of each group at Jaccard 0.8 of five-word shingles."""
+    import corpus_pipeline
+    draw = random.Random(12)
+    texts = []
+    for _ in range(30):
+        base = [f"w{draw.randint(0, 9999)}" for _ in range(draw.choice([4, 5, 20, 46, 50, 70, 120, 300]))]
+        texts.append(" ".join(base))
+        for edits in (0, 1, 2, 3):
+            copy = list(base)
+            for at in draw.sample(range(len(copy)), min(edits, len(copy))):
+                copy[at] = f"e{draw.randint(0, 9999)}"
+            texts.append(" ".join(copy))
+    grams = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (x.split() for x in texts)]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(grams[i] & grams[j])
+            if 10 * both >= 8 * (len(grams[i]) + len(grams[j]) - both):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_copy_stage(spark, docs, "").collect())
+    assert kept == [i for i, x in enumerate(label) if i == x]
+    narrow = jaccard_rtree.join(docs, 0.9).where("doc_id = component_id").count()
+    assert len(kept) < narrow  # a stage of the other query's limits leaves edited copies
