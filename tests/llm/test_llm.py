@@ -382,8 +382,8 @@ def test_license_scan(spark, odd, empty):
 
 # --- 9: Jaccard join ---
 
-def brute_components(texts, p=90, q=100):
-    sets = [jaccard_rtree.shingle_set(t, words.WordHashes(), 3) for t in texts]
+def brute_components(texts, p=90, q=100, n=3):
+    sets = [jaccard_rtree.shingle_set(t, words.WordHashes(), n) for t in texts]
     label = list(range(len(texts)))
     for i in range(len(sets)):
         for j in range(i):
@@ -448,7 +448,8 @@ def test_pipeline_equals_its_operators(spark, sf):
     marks = spark.read.parquet(f"{sf}/labels.parquet")
     good = {r.doc_id for r in zstd_quality.classify(kept, marks).where("score >= 0.5").collect()}
     left = sorted(good)
-    label, _ = brute_components([texts[i] for i in left])
+    label, _ = brute_components([texts[i] for i in left], round(100 * corpus_pipeline.NEAR_SIMILARITY), 100,
+                                corpus_pipeline.NEAR_WORDS)
     left = [d for k, d in enumerate(left) if label[k] == k]
     bench = [words.plain_words(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     grams = {tuple(w[i:i + 8]) for w in bench for i in range(len(w) - 7)}
