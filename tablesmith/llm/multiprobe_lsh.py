@@ -11,7 +11,8 @@ a product of ``K`` normal masses. The query's chance limit is the one at which t
 hold a neighbour with probability ``recall`` over all tables (a quantile over drawn steps); every
 bucket above the limit is visited, so nothing is capped. ``d`` is the query's distance to the row of
 matching rank in a bounded sample of ``SAMPLE`` rows, which sets the effort only: every row
-is indexed and every visited candidate is scored exactly on the original vectors.
+is indexed and every visited candidate is scored exactly on the original vectors. Scores below
+those of ``1.5 k`` rows of the sample are not sent on: they cannot be among the nearest.
 
 On Spark: equal vectors are one class with its smallest ids, so copies cost nothing. Classes and
 queries are dealt by (table, first slots of the bucket), and cells with many rows or queries are
@@ -205,13 +206,22 @@ def place_queries(table: DataFrame, shared, k: int, everything: bool) -> DataFra
                 n = len(points)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("dim"), pa.array(np.zeros(n, np.int32)), pa.nulls(n, pa.string()), batch.column("cls"),
-                     batch.column("v"), pa.array(np.ones(n)), pa.array(np.full(n, -1e300))],
-                    ["dim", "tab", "cell", "cls", "v", "d", "limit"])
+                     batch.column("v"), pa.array(np.ones(n)), pa.array(np.full(n, -1e300)), pa.array(np.full(n, -np.inf))],
+                    ["dim", "tab", "cell", "cls", "v", "d", "limit", "least"])
                 continue
+            lengths = np.sqrt((dense(batch.column("v")) ** 2).sum(1)) * hashes.longest
             for at in range(0, len(points), SLICE):
                 part, own = points[at:at + SLICE], batch.slice(at, SLICE)
-                gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * part @ sample[0].T))
-                gap[own.column("cls").to_numpy()[:, None] == sample[1][None]] = np.inf  # not its own neighbour
+                product = part @ sample[0].T
+                gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * product))
+                itself = own.column("cls").to_numpy()[:, None] == sample[1][None]
+                gap[itself] = np.inf  # not its own neighbour
+                # half as many again as wanted reach this score, so no row below it can be among the k nearest
+                product[itself] = -np.inf
+                least, enough = np.full(len(part), -np.inf), k + k // 2 + 1
+                if product.shape[1] > enough:
+                    least = np.partition(product, product.shape[1] - enough, axis=1)[:, -enough]
+                least = (least - 1e-9) * lengths[at:at + SLICE]
                 rank = min(gap.shape[1], max(1, math.ceil(k * len(sample[1]) / total))) - 1
                 d = np.partition(gap, rank, axis=1)[:, rank]
                 d = np.clip(np.where(np.isfinite(d), d, 2.0), 1e-3, 2.0)
@@ -222,13 +232,13 @@ def place_queries(table: DataFrame, shared, k: int, everything: bool) -> DataFra
                     rows = own.take(pa.array(who))
                     yield pa.RecordBatch.from_arrays(
                         [rows.column("dim"), pa.array(np.full(len(who), t, np.int32)), pa.array(_names(found), pa.string()),
-                         rows.column("cls"), rows.column("v"), pa.array(d[who]), pa.array(limit[who])],
-                        ["dim", "tab", "cell", "cls", "v", "d", "limit"])
+                         rows.column("cls"), rows.column("v"), pa.array(d[who]), pa.array(limit[who]), pa.array(least[who])],
+                        ["dim", "tab", "cell", "cls", "v", "d", "limit", "least"])
 
     shared_recall = RECALL
     kind = table.schema["v"].dataType.elementType.simpleString()
     return table.select("dim", "cls", "v").mapInArrow(
-        run, f"dim int, tab int, cell string, cls long, v array<{kind}>, d double, limit double")
+        run, f"dim int, tab int, cell string, cls long, v array<{kind}>, d double, limit double, least double")
 
 
 def best_of_block(key, rows: pa.Table, asked: pa.Table, shared, k: int) -> pa.Table:
@@ -241,7 +251,7 @@ def best_of_block(key, rows: pa.Table, asked: pa.Table, shared, k: int) -> pa.Ta
     buckets, bucket = np.unique(slots, axis=0, return_inverse=True)
     bucket = bucket.reshape(-1)
     projected = hashes.project(hashes.queries(wanted), t)
-    d, limit, who = (asked.column(c).to_numpy() for c in ("d", "limit", "cls"))
+    d, limit, least, who = (asked.column(c).to_numpy() for c in ("d", "limit", "least", "cls"))
     out = []
     for at in range(0, len(wanted), SLICE):
         part = slice(at, at + SLICE)
@@ -251,7 +261,8 @@ def best_of_block(key, rows: pa.Table, asked: pa.Table, shared, k: int) -> pa.Ta
             logs += chance(projected[part, j:j + 1], values[None], d[part, None])[:, back]
         visit = (logs >= limit[part, None])[:, bucket]
         some = np.flatnonzero(visit.any(0))
-        scores = np.where(visit[:, some], wanted[part] @ vectors[some].T, -np.inf)
+        scores = wanted[part] @ vectors[some].T
+        scores = np.where(visit[:, some] & (scores >= least[part, None]), scores, -np.inf)
         if scores.shape[1] > k:
             edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
             # all that tie with the k-th, give or take the error of the last bits
@@ -301,7 +312,7 @@ def _round(placed: DataFrame, asked: DataFrame, shared, k: int) -> DataFrame:
         return best_of_block(key, rows, queries, shared, k)
 
     found = (left.select(*block, "cls", "first", "v").groupBy(*block)
-             .cogroup(right.select(*block, "cls", "v", "d", "limit").groupBy(*block))
+             .cogroup(right.select(*block, "cls", "v", "d", "limit", "least").groupBy(*block))
              .applyInArrow(probe, "ask long, cls long, first long, score double"))
     once = found.groupBy("ask", "cls").agg(F.max("score").alias("score"), F.min("first").alias("first"))
     return saved(_top(once, "ask", [F.col("score").desc(), F.col("first"), F.col("cls")], k), "found")
@@ -342,18 +353,18 @@ def search(vectors: DataFrame, wanted: Column, k: int = 20) -> DataFrame:
     shared = spark.sparkContext.broadcast(plan(table, k))
     asking = table.where("asks")
     found = _round(place_rows(table, shared), place_queries(asking, shared, k, False), shared, k + 1)
-    # a query that met too few classes goes through all cells of one table
+    # a query that met too few other classes goes through all cells of one table
     counts = {dim: n for dim, n in shared.value[2].items()}
     need = F.lit(0)
     for dim, n in counts.items():
-        need = F.when(F.col("dim") == dim, F.lit(min(k + 1, n))).otherwise(need)
-    met = found.groupBy(F.col("ask").alias("cls")).agg(F.count(F.lit(1)).alias("met"))
+        need = F.when(F.col("dim") == dim, F.lit(min(k, n - 1))).otherwise(need)
+    met = found.where("ask <> cls").groupBy(F.col("ask").alias("cls")).agg(F.count(F.lit(1)).alias("met"))
     short = saved(asking.join(met, "cls", "left").where(F.coalesce("met", F.lit(0)) < need).select(*asking.columns), "short")
     if not short.isEmpty():
         placed = place_rows(table, shared).where("tab = 0")
         cells = saved(placed.select("dim", "cell").distinct(), "all-cells")
         asked = place_queries(short, shared, k, True).drop("cell").join(cells, "dim").select(
-            "dim", "tab", "cell", "cls", "v", "d", "limit")
+            "dim", "tab", "cell", "cls", "v", "d", "limit", "least")
         again = _round(placed, asked, shared, k + 1)
         found = found.join(short.select(F.col("cls").alias("ask")), "ask", "left_anti").union(again.select(found.columns))
     members = table.select("cls", "members")
