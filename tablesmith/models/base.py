@@ -8,7 +8,7 @@ the same two methods.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -74,6 +74,13 @@ def side_by_side_fits(jobs: Iterable[Callable], parallelism: int = 4) -> list:
         return pool.map(inheritable_thread_target(session)(lambda job: job()), jobs)
 
 
+def fit_many(estimator, df: DataFrame, subsets: Sequence[Column], parallelism: int = 4) -> list:
+    """One model per subset of the rows, in shared passes where the estimator has such a method."""
+    if hasattr(estimator, "fit_many"):
+        return estimator.fit_many(df, subsets)
+    return side_by_side_fits([lambda s=s: estimator.fit(df.where(s)) for s in subsets], parallelism)
+
+
 def score(model, df: DataFrame) -> float:
     """Share of rows whose prediction equals the label."""
     hit = (F.col("prediction") == F.col("label")).cast("double")
@@ -97,6 +104,11 @@ class Pinned:
         shared_folder(df.sparkSession)
         return self.build(**self.params).fit(df)
 
+    def fit_many(self, df: DataFrame, subsets: Sequence[Column], parallelism: int = 4) -> list:
+        """One model per subset of the rows: in shared passes where the estimator can, else side by side."""
+        shared_folder(df.sparkSession)
+        return fit_many(self.build(**self.params), df, subsets, parallelism)
+
     def fit_score(self, df: DataFrame):
         model = self.fit(df)
         return model, score(model, df)

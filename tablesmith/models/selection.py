@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablesmith.models.base import Pinned, predict, side_by_side_fits, width_of
+from tablesmith.models.base import Pinned, fit_many, predict, side_by_side_fits, width_of
 from tablesmith.operators.splits import shuffle_roles
 from tablesmith.session import cached
 
@@ -33,19 +33,26 @@ def _auc(scored: DataFrame) -> float:
     return BinaryClassificationEvaluator(rawPredictionCol="_chance", labelCol="label", numBins=0).evaluate(scored)
 
 
-def _split_scores(estimator, df: DataFrame, role: Column, scoring: str) -> tuple[float, float, float]:
-    """(train score, test score, fit seconds) of one split."""
+def _model_scores(model, df: DataFrame, role: Column, scoring: str) -> tuple[float, float]:
+    """(train score, test score) of a model on one split."""
     rows = df.withColumn("_role", role)
-    start = time.perf_counter()
-    model = estimator.fit(rows.where(F.col("_role") == "train").drop("_role"))
-    seconds = time.perf_counter() - start
     scored = predict(model, rows.where(F.col("_role") != "unused"), "_guess", ranking="_chance")
     if scoring == "roc_auc":
         scored = scored.select("_role", "label", "_chance")
-        return (_auc(scored.where(F.col("_role") == "train")), _auc(scored.where(F.col("_role") == "test")), seconds)
+        return _auc(scored.where(F.col("_role") == "train")), _auc(scored.where(F.col("_role") == "test"))
     hit = F.avg((F.col("_guess") == F.col("label")).cast("double"))
     found = {r[0]: r[1] for r in scored.groupBy("_role").agg(hit).collect()}
-    return found["train"], found["test"], seconds
+    return found["train"], found["test"]
+
+
+def _draw_scores(estimator, df: DataFrame, roles: Sequence[Column], scoring: str, parallelism: int
+                 ) -> list[tuple[float, float, float]]:
+    """(train score, test score, fit seconds) of every split; the splits share passes where the estimator can."""
+    start = time.perf_counter()
+    models = fit_many(estimator, df, [r == "train" for r in roles], parallelism)
+    seconds = (time.perf_counter() - start) / max(len(roles), 1)
+    found = side_by_side_fits([lambda m=m, r=r: _model_scores(m, df, r, scoring) for m, r in zip(models, roles)], parallelism)
+    return [(*f, seconds) for f in found]
 
 
 def _summary(name: str, estimator, splits: Sequence[tuple[float, float, float]]) -> dict:
@@ -59,10 +66,9 @@ def cross_validate(candidates: Mapping[str, object], df: DataFrame, roles: Seque
                    scoring: str = "accuracy", parallelism: int = 4) -> list[dict]:
     """Scores of every candidate over every split, fitted a few at a time."""
     with cached(df):
-        jobs = [lambda e=e, r=r: _split_scores(e, df, r, scoring) for e in candidates.values() for r in roles]
+        jobs = [lambda e=e: _draw_scores(e, df, roles, scoring, parallelism) for e in candidates.values()]
         found = side_by_side_fits(jobs, parallelism)
-    n = len(roles)
-    return [_summary(name, e, found[i * n:(i + 1) * n]) for i, (name, e) in enumerate(candidates.items())]
+    return [_summary(name, e, splits) for (name, e), splits in zip(candidates.items(), found)]
 
 
 def metric_table(df: DataFrame, summaries: Sequence[dict]) -> DataFrame:

@@ -1,21 +1,12 @@
-"""Trees, forests, boosting."""
+"""Trees, forests, boosting: Spark's own tree and forest, and the learners of ``histogram``."""
 
 from __future__ import annotations
 
-import math
-import random
-import re
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.sql import Column, DataFrame, functions as F
+from tablesmith.models.histogram import AdaBoost, Bagging, Boosting, ExtraTrees
 
-from tablesmith.models.base import feature_columns, side_by_side_fits, width_of
-from tablesmith.models.closed_form import _total
-from tablesmith.operators.splits import bootstrap_weight
-from tablesmith.session import durable
+__all__ = ["AdaBoost", "Bagging", "Boosting", "ExtraTrees", "boosted_stacker", "decision_tree", "gradient_boosting", "random_forest"]
 
 # Trees of the reference grow until pure; Spark's deepest tree has 30 levels.
 DEEPEST = 30
@@ -34,181 +25,15 @@ def random_forest(n_trees: int = 500, max_depth: int | None = None, min_leaf: in
                                   minInstancesPerNode=min_leaf, maxBins=256, seed=seed)
 
 
-def gradient_boosting(n_rounds: int = 500, max_depth: int = 5, min_leaf: int = 2, rate: float = 0.1,
-                      subsample: float = 1.0, features: str = "all", min_gain: float = 0.0,
-                      seed: int = 0) -> GBTClassifier:
-    """Boosted trees; checkpoints every ten rounds where a checkpoint folder is set."""
-    return GBTClassifier(maxIter=n_rounds, maxDepth=max_depth, minInstancesPerNode=min_leaf, stepSize=rate,
-                         subsamplingRate=subsample, featureSubsetStrategy=features, minInfoGain=min_gain,
-                         maxBins=256, checkpointInterval=10, seed=seed)
+def gradient_boosting(n_rounds: int = 500, max_depth: int = 5, min_leaf: int = 2, rate: float = 0.1, key: str = "id",
+                      seed: int = 0) -> Boosting:
+    """Boosted regression trees of the gradient with Newton steps in the leaves."""
+    return Boosting(n_rounds, max_depth, rate, min_leaf, key=key, seed=seed)
 
 
-def boosted_stacker(n_rounds: int = 2000, max_depth: int = 4, seed: int = 0) -> GBTClassifier:
-    """The second-layer model: row and column samples of 0.8, at least two rows per leaf."""
-    return gradient_boosting(n_rounds, max_depth, 2, 0.1, 0.8, "0.8", 0.0, seed)
-
-
-class ExtraTrees:
-    """Trees over random cut points.
-
-    A pool of random cuts per feature becomes a vector of 0/1 tests; each node of each tree
-    considers a random handful of them and takes the best. All trees are one forest fit on
-    the whole table without resampling. An approximation: cuts come from a shared pool
-    instead of being redrawn at every node.
-    """
-
-    def __init__(self, n_trees: int = 500, max_depth: int | None = 8, min_leaf: int = 2,
-                 criterion: str = "gini", cuts: int = 16, seed: int = 0):
-        self.n_trees, self.max_depth, self.min_leaf = n_trees, max_depth, min_leaf
-        self.criterion, self.cuts, self.seed = criterion, cuts, seed
-
-    def fit(self, df: DataFrame) -> _CutForest:
-        xs = feature_columns(width_of(df))
-        ends = df.agg(*[f(x).alias(f"{n}{i}") for i, x in enumerate(xs) for n, f in (("lo", F.min), ("hi", F.max))]
-                      ).first()
-        draw = random.Random(self.seed)
-        pool = [(i, ends[f"lo{i}"] + draw.random() * (ends[f"hi{i}"] - ends[f"lo{i}"]))
-                for i in range(len(xs)) for _ in range(self.cuts)]
-        forest = RandomForestClassifier(
-            featuresCol="_cut_features", numTrees=self.n_trees, bootstrap=False,
-            featureSubsetStrategy=str(max(1, round(math.sqrt(len(xs))))), impurity=self.criterion,
-            maxDepth=DEEPEST if self.max_depth is None else self.max_depth,
-            minInstancesPerNode=self.min_leaf, seed=self.seed)
-        return _CutForest(pool, len(xs), forest.fit(_cut(df, pool)))
-
-
-def _cut(df: DataFrame, pool: list[tuple[int, float]]) -> DataFrame:
-    xs = feature_columns(max(i for i, _ in pool) + 1)
-    names = [f"_cut{n}" for n in range(len(pool))]
-    tests = [(xs[i] > F.lit(float(c))).cast("double").alias(n) for n, (i, c) in zip(names, pool)]
-    packed = VectorAssembler(inputCols=names, outputCol="_cut_features").transform(df.select("*", *tests))
-    return packed.drop(*names)
-
-
-class _CutForest:
-    def __init__(self, pool, width, forest):
-        self.pool, self.width, self.forest = pool, width, forest
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.forest.transform(_cut(df, self.pool)).drop("_cut_features")
-
-    @property
-    def featureImportances(self) -> list[float]:  # noqa: N802  (the name Spark ML models use)
-        """Importance of a feature: the sum over its cuts."""
-        total = [0.0] * self.width
-        for (i, _), value in zip(self.pool, self.forest.featureImportances.toArray()):
-            total[i] += float(value)
-        return total
-
-
-class Bagging:
-    """Trees on bootstrap-weighted rows, each on its own share of the features."""
-
-    def __init__(self, n_trees: int = 400, feature_share: float = 0.5, max_depth: int | None = None,
-                 key: str = "id", seed: int = 0, parallelism: int = 4):
-        self.n_trees, self.feature_share, self.max_depth = n_trees, feature_share, max_depth
-        self.key, self.seed, self.parallelism = key, seed, parallelism
-
-    def fit(self, df: DataFrame) -> _MeanOfModels:
-        width = width_of(df)
-        draw = random.Random(self.seed)
-        chosen = [sorted(draw.sample(range(width), max(1, round(width * self.feature_share))))
-                  for _ in range(self.n_trees)]
-
-        def one(bag: int, indices: list[int]):
-            weighted = (df.withColumn("_times", bootstrap_weight(F.col(self.key), bag, self.seed))
-                        .where(F.col("_times") > 0))
-            tree = (decision_tree(max_depth=self.max_depth, seed=self.seed + bag)
-                    .setFeaturesCol("_slice").setWeightCol("_times"))
-            slicer = VectorSlicer(inputCol="features", outputCol="_slice", indices=indices)
-            return Pipeline(stages=[slicer, tree]).fit(weighted)
-
-        jobs = [lambda b=b, c=c: one(b, c) for b, c in enumerate(chosen)]
-        return _MeanOfModels(side_by_side_fits(jobs, self.parallelism))
-
-
-class _MeanOfModels:
-    """Mean class-1 probability over models; the label is 1 above one half."""
-
-    def __init__(self, models):
-        self.models = models
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        from tablesmith.models.base import predict
-        out, names = df, []
-        for i, model in enumerate(self.models):
-            names.append(f"_p{i}")
-            out = predict(model, out, "_label", names[-1]).drop("_label", "_slice")
-        mean = _total([F.col(n) for n in names]) / len(names)
-        return out.withColumn("p1", mean).withColumn("prediction", (F.col("p1") > 0.5).cast("double")).drop(*names)
-
-
-# One split of a depth-1 tree as Spark ML prints it.
-STUMP = re.compile(r"If \(feature (\d+) <= ([-+0-9.eE]+)\)\s+Predict: ([0-9.]+)\s+Else.*?Predict: ([0-9.]+)", re.S)
-
-
-class AdaBoost:
-    """Discrete boosting of depth-1 trees.
-
-    A round is one weighted tree fit and one aggregate for its weighted error. A stump is a
-    comparison of one feature, so weights and the final score are plain expressions; the
-    weight column is written out every few rounds to keep plans short.
-    """
-
-    def __init__(self, n_rounds: int = 500, rate: float = 1.0, write_every: int = 10, seed: int = 0):
-        self.n_rounds, self.rate, self.write_every, self.seed = n_rounds, rate, write_every, seed
-
-    def fit(self, df: DataFrame) -> _Stumps:
-        width = width_of(df)
-        rows = durable(df.select("features", "label").withColumn("w", F.lit(1.0)))
-        stumps: list[tuple[int, float, float, float, float]] = []
-        for step in range(self.n_rounds):
-            tree = decision_tree(max_depth=1, seed=self.seed + step).setWeightCol("w").fit(rows)
-            match = STUMP.search(tree.toDebugString)
-            if match:
-                stump = (int(match[1]), float(match[2]), float(match[3]), float(match[4]))
-            else:
-                # no split separates anything: the tree says the same for every row
-                only = float(re.search(r"Predict: ([0-9.]+)", tree.toDebugString)[1])
-                stump = (0, 0.0, only, only)
-            miss = (_stump(stump, width) != F.col("label")).cast("double")
-            row = rows.agg(F.sum(F.col("w") * miss).alias("m"), F.sum("w").alias("t")).first()
-            error = row.m / row.t
-            if error >= 0.5:
-                if not stumps:
-                    stumps.append((*stump, 1.0))
-                break
-            alpha = self.rate * math.log((1.0 - error) / max(error, 1e-12))
-            stumps.append((*stump, alpha))
-            if error <= 1e-12:
-                break
-            rows = rows.withColumn("w", F.col("w") * F.exp(miss * alpha) / row.t)
-            if (step + 1) % self.write_every == 0:
-                rows = durable(rows)
-        return _Stumps(stumps, width)
-
-
-def _stump(stump, width: int) -> Column:
-    feature, cut, left, right = stump[:4]
-    return F.when(feature_columns(width)[feature] <= cut, left).otherwise(right)
-
-
-class _Stumps:
-    def __init__(self, stumps, width):
-        self.stumps, self.width = stumps, width
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        total = sum(s[4] for s in self.stumps) or 1.0
-        votes = _total([(_stump(s, self.width) * 2.0 - 1.0) * s[4] for s in self.stumps]) / total
-        return (df.withColumn("_votes", votes)
-                .withColumn("p1", 1.0 / (1.0 + F.exp(-F.col("_votes"))))
-                .withColumn("prediction", (F.col("_votes") > 0).cast("double")).drop("_votes"))
-
-    @property
-    def featureImportances(self) -> list[float]:  # noqa: N802
-        """Share of the vote weight spent on each feature."""
-        total = [0.0] * self.width
-        for feature, _, _, _, alpha in self.stumps:
-            total[feature] += alpha
-        mass = sum(total) or 1.0
-        return [v / mass for v in total]
+def boosted_stacker(n_rounds: int = 2000, max_depth: int = 4, rate: float = 0.1, min_child: float = 2, min_gain: float = 0.9,
+                    row_share: float = 0.8, column_share: float = 0.8, l2: float = 1.0, key: str = "id",
+                    seed: int = 0) -> Boosting:
+    """The second-layer model: second-order boosting, rows and columns drawn per tree."""
+    return Boosting(n_rounds, max_depth, rate, min_child, row_share, column_share, l2, min_gain, second_order=True, key=key,
+                    seed=seed)

@@ -17,7 +17,7 @@ GRADIENT_BOOSTING = {"n_rounds": 500, "max_depth": 5, "min_leaf": 2, "rate": 0.1
 POLYNOMIAL_SVC = {"degree": 4, "C": 0.025}
 BAGGING = {"n_trees": 400, "feature_share": 0.5}
 NEIGHBOURS = {"k": 7, "weights": "distance"}
-STACKER = {"n_rounds": 2000, "max_depth": 4}
+STACKER = {"n_rounds": 2000, "max_depth": 4, "min_child": 2, "min_gain": 0.9, "row_share": 0.8, "column_share": 0.8}
 
 # The choices the searches run over.
 N_ESTIMATORS = [10, 50, 100, 300]
@@ -87,7 +87,7 @@ def comparison_models(key: str = "id", n_trees: int = 100, n_rounds: int = 50) -
     """The models of the comparison table that have a distributed form."""
     return {
         "AdaBoost": Pinned("AdaBoost", trees.AdaBoost, n_rounds=n_rounds),
-        "Bagging": Pinned("Bagging", trees.random_forest, n_trees=10, features="all"),
+        "Bagging": Pinned("Bagging", trees.Bagging, n_trees=10, key=key),
         "ExtraTrees": Pinned("ExtraTrees", trees.ExtraTrees, n_trees=n_trees, max_depth=None, min_leaf=1),
         "GradientBoosting": Pinned("GradientBoosting", trees.gradient_boosting, n_rounds=n_rounds, max_depth=3,
                                    min_leaf=1),
@@ -106,7 +106,8 @@ def comparison_models(key: str = "id", n_trees: int = 100, n_rounds: int = 50) -
         "ExtraTree": Pinned("ExtraTree", trees.ExtraTrees, n_trees=1, max_depth=None, min_leaf=1),
         "LinearDiscriminant": Pinned("LinearDiscriminant", closed_form.LinearDiscriminant),
         "QuadraticDiscriminant": Pinned("QuadraticDiscriminant", closed_form.QuadraticDiscriminant),
-        "Boosted": Pinned("Boosted", trees.boosted_stacker, n_rounds=n_rounds, max_depth=3),
+        "Boosted": Pinned("Boosted", trees.boosted_stacker, n_rounds=n_rounds, max_depth=3, min_child=1, min_gain=0.0, row_share=1.0,
+                          column_share=1.0, key=key),
     }
 
 
@@ -114,7 +115,7 @@ def search_grids() -> dict[str, list[dict]]:
     """Combinations tried per voting model, by the names of ``comparison_models``."""
     return {
         "AdaBoost": grid(n_rounds=N_ESTIMATORS, rate=RATES),
-        "Bagging": grid(n_trees=N_ESTIMATORS),
+        "Bagging": grid(n_trees=N_ESTIMATORS, row_share=RATIOS),
         "ExtraTrees": grid(n_trees=N_ESTIMATORS, criterion=CRITERIA, max_depth=DEPTHS),
         "GradientBoosting": grid(rate=[.05], n_rounds=[300], max_depth=DEPTHS),
         "RandomForest": grid(n_trees=N_ESTIMATORS, criterion=CRITERIA, max_depth=DEPTHS),
@@ -123,6 +124,6 @@ def search_grids() -> dict[str, list[dict]]:
         "GaussianNB": [{}],
         "Neighbours": grid(k=[1, 2, 3, 4, 5, 6, 7], weights=["uniform", "distance"]),
         "PolynomialSVC": grid(C=[1, 2, 3, 4, 5]),
-        "Boosted": grid(max_depth=[1, 2, 4, 6, 8, 10], n_rounds=N_ESTIMATORS),
+        "Boosted": grid(rate=RATES, max_depth=[1, 2, 4, 6, 8, 10], n_rounds=N_ESTIMATORS),
         "DecisionTree": grid(criterion=CRITERIA, max_depth=DEPTHS),
     }

@@ -143,22 +143,22 @@ def model_extra_trees(spark, sf):
 
 @query("model_bagging")
 def model_bagging(spark, sf):
-    return fitted(spark, sf, zoo.bagging(n_trees=6, max_depth=8))
+    return fitted(spark, sf, zoo.bagging())
 
 
 @query("model_adaboost")
 def model_adaboost(spark, sf):
-    return fitted(spark, sf, zoo.adaboost(n_rounds=8))
+    return fitted(spark, sf, zoo.adaboost())
 
 
 @query("model_gradient_boosting")
 def model_gradient_boosting(spark, sf):
-    return fitted(spark, sf, zoo.gradient_boosting(n_rounds=15))
+    return fitted(spark, sf, zoo.gradient_boosting())
 
 
 @query("model_boosted_stacker")
 def model_boosted_stacker(spark, sf):
-    return fitted(spark, sf, zoo.stacker(n_rounds=15))
+    return fitted(spark, sf, zoo.stacker())
 
 
 @query("model_logistic")
@@ -224,8 +224,7 @@ def model_fit_score(spark, sf):
 
 def _importances(spark, sf) -> DataFrame:
     train, _ = train_test(spark, sf)
-    builds = {"rf": zoo.random_forest(n_trees=20), "et": zoo.extra_trees(n_trees=20),
-              "ada": zoo.adaboost(n_rounds=5), "gb": zoo.gradient_boosting(n_rounds=5)}
+    builds = {"rf": zoo.random_forest(), "et": zoo.extra_trees(), "ada": zoo.adaboost(), "gb": zoo.gradient_boosting()}
     return inspect.importances(spark, {n: b.fit(train) for n, b in builds.items()}, FEATURES)
 
 
