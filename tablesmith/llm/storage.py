@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablesmith.operators.relational import table_bytes
 from tablesmith.session import shared_folder
 
 
 # Whole texts make batches of the default row count large, once in the JVM and twice in Python.
 BATCH_ROWS = 2000
 BATCH_BYTES = 4 << 20
-BROADCAST_ROWS = 16_384
+SIDE_BYTES = 32 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
@@ -41,8 +42,9 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
 def beside_texts(side: DataFrame) -> DataFrame:
     """A table of ids and numbers, written and hinted for a join with whole texts.
 
-    Up to ``BROADCAST_ROWS`` rows it goes to the texts. Beyond, both sides are partitioned by the
+    Up to ``SIDE_BYTES`` measured bytes it goes to the texts. Beyond, both sides are partitioned by the
     key and this one is hashed, so that the texts are shuffled but need no sort.
     """
     side = saved(side, "side")
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side.hint("shuffle_hash")
+    _, sizes = table_bytes(side)
+    return F.broadcast(side) if sum(sizes.values()) <= SIDE_BYTES else side.hint("shuffle_hash")
