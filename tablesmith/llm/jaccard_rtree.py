@@ -5,8 +5,10 @@
    has m elements differ in at most d = m (1/t - 1) elements, so of d + 1 groups at least one
    holds the same tokens in both. Sets are keyed by (size class, group, its tokens) and meet
    where a key agrees: that is the top of the tree, a partition that Spark can shuffle. A group
-   that is empty in both says nothing, so a set with an empty group is keyed again under
-   another hash; in the last round empty groups count.
+   that is empty in both says nothing. With G > d groups at least G - d agree, so a set with fewer empty
+   groups than that has an agreeing group that is not empty: it is keyed at a few more groups
+   than d + 1 and goes on to more groups only while too many are empty. Of a linked pair both
+   are keyed at the step where the first of them ends. In the last step empty groups count.
 3. Sets that are connected by keys form a candidate cluster. A cluster is dealt into blocks, and
    each pair of blocks is joined in a task: group counts of each set are a point, points are
    packed into R-tree leaves with bounding boxes, and the overlap of two boxes, then of two points, is
@@ -20,6 +22,7 @@ it has sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -32,7 +35,7 @@ from tablesmith.llm.storage import beside_texts, saved, small_batches
 from tablesmith.llm.words import GOLDEN, MIX_1, WordHashes, ascii_words, mix, ngram_hashes
 
 SHINGLE = 3
-SEEDS = 4
+LADDER = (1.06, 1.12, 1.25, 1.5, 2.0)
 GROUPS = 32
 LEAF = 16
 BLOCK_TOKENS = 400_000
@@ -78,23 +81,33 @@ class Threshold:
         return out
 
 
+def ladder(groups: int, smallest: int) -> list[int]:
+    """Group counts tried one after another in a class of ``groups`` = d + 1; 0 ends it with empty groups.
+
+    Where even the smallest set of the class leaves hardly a group empty, d + 1 groups will do.
+    """
+    full = groups * math.exp(-smallest / groups) < 0.05
+    return [groups if full else max(groups + 1, math.ceil(groups * LADDER[0])), *[max(groups + 2, math.ceil(groups * x)) for x in LADDER[1:]], 0]
+
+
 def group_keys(shingles: np.ndarray, threshold: Threshold) -> np.ndarray:
     """Keys of a set; two linked different sets have at least one in common."""
     out = []
-    for number, groups in threshold.classes(len(shingles)):
-        for seed in range(SEEDS):
-            place = mix(shingles * MIX_1 + np.uint64(seed))
+    for number, least in threshold.classes(len(shingles)):
+        for step, groups in enumerate(ladder(least, threshold.edges[number])):
+            last, groups = groups == 0, groups or least
+            place = mix(shingles * MIX_1 + np.uint64(step))
             group = (place % np.uint64(groups)).astype(np.int64)
             content, count = np.zeros(groups, np.uint64), np.bincount(group, minlength=groups)
             np.add.at(content, group, mix(place))
-            label = np.uint64((number * SEEDS + seed) << 40) + np.arange(groups, dtype=np.uint64)
+            label = np.uint64((number * (len(LADDER) + 1) + step) << 40) + np.arange(groups, dtype=np.uint64)
             keys = mix(content * GOLDEN + mix(label))
-            empty = count == 0
-            if seed == SEEDS - 1:
+            if last:
                 out.append(keys)
                 break
-            out.append(keys[~empty])
-            if not empty.any():
+            out.append(keys[count > 0])
+            # least - 1 groups may differ; of the others one is not empty
+            if np.count_nonzero(count == 0) <= groups - least:
                 break
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 

@@ -414,17 +414,23 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, block):
     assert [got[i].n_shingles for i in range(len(texts))] == sizes
 
 
-def test_keys_meet_for_every_linked_pair():
+@pytest.mark.parametrize("percent", [50, 80, 90, 97])
+def test_keys_meet_for_every_linked_pair(percent):
     draw = np.random.default_rng(4)
-    t = jaccard_rtree.Threshold(0.9)
+    t = jaccard_rtree.Threshold(percent / 100)
+    most = (100 - percent) / percent
     for _ in range(1500):
-        size = int(draw.integers(9, 260))
+        size = int(draw.integers(2, 260))
         a = draw.integers(0, 1 << 63, size).astype(np.uint64)
         b = a.copy()
-        b[:int(draw.integers(0, size // 9 + 1))] = draw.integers(0, 1 << 63)
+        if draw.integers(2):
+            b = b[int(draw.integers(0, int(size * (1 - percent / 100)) + 1)):]          # fewer words
+        else:
+            edits = int(draw.integers(0, int(size * most / 2) + 1))
+            b[:edits] = draw.integers(0, 1 << 63, edits).astype(np.uint64)     # other words
         a, b = np.unique(a), np.unique(b)
         both = len(np.intersect1d(a, b))
-        if 100 * both >= 90 * (len(a) + len(b) - both):
+        if len(a) != both and 100 * both >= percent * (len(a) + len(b) - both):
             assert np.intersect1d(jaccard_rtree.group_keys(a, t), jaccard_rtree.group_keys(b, t)).size
 
 
