@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from tablesmith.functions.text import between
@@ -46,27 +48,41 @@ def rule_coin_flip(spark, sf):
                     F.sum("pred").alias("heads"))
 
 
-CANDIDATES = [
-    ("sub", "pclass", 2.5),
-    ("mul", ("sin", "fare"), ("cos", "sibsp")),
-    ("div", ("sub", "sibsp", "parch"), "parch"),
-    ("max", ("tanh", ("sub", "pclass", 2.0)), ("min", "sibsp", ("sub", "parch", 0.5))),
-    ("add", ("mul", "sibsp", -1.0), 1.5),
-]
-CANDIDATE_SQL = [
-    "pclass - 2.5",
-    "sin(fare) * cos(sibsp)",
-    "CASE WHEN parch = 0 THEN 1 ELSE (sibsp - parch) / CAST(parch AS DOUBLE) END",
-    "greatest(tanh(pclass - 2), least(sibsp, parch - 0.5))",
-    "sibsp * -1 + 1.5",
-]
-
-
-@query("rule_population_fitness", M + " " + " UNION ALL ".join(
-    f"""SELECT {i} AS candidate, round(avg(coalesce(CAST(round_even(1 - 1 / (1 + exp(-CAST({c} AS DOUBLE))), 0) = truth
-      AS INTEGER), 0)), 6) AS fitness FROM m""" for i, c in enumerate(CANDIDATE_SQL)))
+# Operators of candidate expressions with their SQL; division by zero gives 1.
+SHAPES = {"add": "({0} + {1})", "sub": "({0} - {1})", "mul": "({0} * {1})", "div": "(CASE WHEN {1} = 0 THEN 1 ELSE {0} / {1} END)",
+          "max": "greatest({0}, {1})", "min": "least({0}, {1})", "sin": "sin({0})", "cos": "cos({0})", "tanh": "tanh({0})"}
+POPULATION = 300
+
+
+def candidate(draw: random.Random, depth: int):
+    """A random expression over the numeric columns."""
+    if depth == 0 or draw.random() < 0.15:
+        return draw.choice(["pclass", "sibsp", "parch", round(draw.uniform(-2, 2), 2)])
+    name = draw.choice(list(SHAPES))
+    return name, *[candidate(draw, depth - 1) for _ in range(2 if "{1}" in SHAPES[name] else 1)]
+
+
+def candidate_sql(c) -> str:
+    if isinstance(c, tuple):
+        return SHAPES[c[0]].format(*map(candidate_sql, c[1:]))
+    return f"CAST({c} AS DOUBLE)"
+
+
+CANDIDATES = [candidate(random.Random(i), 1 + i % 3) for i in range(POPULATION)]
+
+
+@query("rule_population_fitness", M + ", f AS (" + " UNION ALL ".join(
+    f"""SELECT CAST({i} AS INTEGER) AS candidate, avg(coalesce(CAST(round_even(1 - 1 / (1 + exp(-{candidate_sql(c)})), 0) = truth
+      AS INTEGER), 0)) AS fitness FROM m""" for i, c in enumerate(CANDIDATES)) + """)
+SELECT candidate, round(fitness, 6) AS fitness, round(avg(fitness) OVER (), 6) AS population_avg,
+  round(stddev_pop(fitness) OVER (), 6) AS population_std, round(min(fitness) OVER (), 6) AS population_min,
+  round(max(fitness) OVER (), 6) AS population_max FROM f""")
 def rule_population_fitness(spark, sf):
-    return rounded(rules.population_fitness(manifest(spark, sf), CANDIDATES, "truth"), "fitness")
+    """A whole population in one scan, next to the population's own statistics."""
+    fitness = rules.population_fitness(manifest(spark, sf), CANDIDATES, "truth")
+    summary = rules.fitness_summary(fitness)
+    whole = summary.select(*[F.col(c).alias(f"population_{c}") for c in summary.columns])
+    return rounded(fitness.join(F.broadcast(whole)), *[c for c in ("fitness", *whole.columns)])
 
 
 @query("score_submission", M + f""", p AS (SELECT id, {RULE_SQL.format(boy=BOY)} AS pred
