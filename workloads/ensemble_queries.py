@@ -30,27 +30,34 @@ def ens_oof_predictions(spark, sf):
             .unionByName(oof_test.select("id", F.lit("test").alias("part"), r6("nb").alias("prediction"))))
 
 
-# Out-of-fold columns of the first layer and train scores, kept for the queries that start from them.
-_FIRST: dict[tuple, tuple] = {}
+# Out-of-fold columns of the first layer, kept for the queries that start from them.
+_OUT_OF_FOLD: dict[tuple, tuple] = {}
 
 
 def _first_layer(spark, sf, fifth="svc"):
-    """(train rows, test rows, out-of-fold train, out-of-fold test) of the five base models at published size.
+    """(train rows, out-of-fold train, out-of-fold test) of the five base models at published size.
 
-    The tables lie in the shared folder; a session computes them once and every stack reads them.
+    The tables lie in the shared folder; a session computes the four common models once, and every
+    stack reads them.
     """
-    own = spark.sparkContext.applicationId, sf, fifth
-    if own not in _FIRST:
-        train, test = train_test(spark, sf)
-        _FIRST[own] = train, test, *ensemble.out_of_fold(zoo.first_layer(fifth), train, test, k=5)
-    return _FIRST[own]
+    models = zoo.first_layer(fifth)
+    *common, last = models
+    found = []
+    for names in (common, [last]):
+        own = spark.sparkContext.applicationId, sf, *names
+        if own not in _OUT_OF_FOLD:
+            train, test = train_test(spark, sf)
+            _OUT_OF_FOLD[own] = train, *ensemble.out_of_fold({n: models[n] for n in names}, train, test, k=5)
+        found.append(_OUT_OF_FOLD[own])
+    (train, *four), (_, *one) = found
+    return train, *[a.join(b.select("id", last), "id") for a, b in zip(four, one)]
 
 
 @query("ens_first_layer")
 def ens_first_layer(spark, sf):
     """Train accuracy of each base model next to its out-of-fold accuracy."""
     models = zoo.first_layer()
-    train, _, oof_train, _ = _first_layer(spark, sf)
+    train, oof_train, _ = _first_layer(spark, sf)
     scores = ensemble.train_scores(models, train)
     hits = oof_train.agg(*[F.avg((F.col(n) == F.col("label")).cast("double")).alias(n) for n in models])
     known = F.create_map(*[F.lit(x) for n, s in scores.items() for x in (n, float(s))])
@@ -71,7 +78,7 @@ def ens_stack_features(spark, sf):
 
 def _stacked(spark, sf, layers, final, fifth="svc"):
     """The given layers and final model on top of the first layer's columns."""
-    _, _, train, test = _first_layer(spark, sf, fifth)
+    _, train, test = _first_layer(spark, sf, fifth)
     names = list(zoo.first_layer(fifth))
     result, accuracy = ensemble.stack(layers, final, assemble(train, names, "id", "label"), assemble(test, names, "id"), k=5)
     return result.withColumn("train_accuracy", F.lit(round(accuracy, 6)))

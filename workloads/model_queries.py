@@ -222,10 +222,18 @@ def model_fit_score(spark, sf):
         "id", F.col("prediction").cast("int").alias("prediction"), F.lit(round(accuracy, 6)).alias("train_score"))
 
 
+_IMPORTANCES: dict[tuple, DataFrame] = {}
+
+
 def _importances(spark, sf) -> DataFrame:
+    """The table of one session's full models, made once for both queries that show it."""
+    own = spark.sparkContext.applicationId, sf
+    if own in _IMPORTANCES:
+        return _IMPORTANCES[own]
     train, _ = train_test(spark, sf)
     builds = {"rf": zoo.random_forest(), "et": zoo.extra_trees(), "ada": zoo.adaboost(), "gb": zoo.gradient_boosting()}
-    return inspect.importances(spark, {n: b.fit(train) for n, b in builds.items()}, FEATURES)
+    _IMPORTANCES[own] = inspect.importances(spark, {n: b.fit(train) for n, b in builds.items()}, FEATURES)
+    return _IMPORTANCES[own]
 
 
 @query("model_feature_importance")
