@@ -356,3 +356,17 @@ def test_table_bytes_measures_every_type(spark):
     n, size = relational.table_bytes(df)
     assert n == 1 and (size["a"], size["s"], size["b"]) == (16, 3, 9)
     assert min(size["l"], size["v"]) >= 800 and size["m"] >= 101
+
+
+def test_population_fitness_equals_column_expressions(spark):
+    """The batch form gives what each expression gives as a column, missing values included."""
+    import random
+    from tablesmith.functions.numeric import expression, reversed_logistic
+    from workloads.rule_queries import candidate
+    rows = [(float(i % 4), None if i % 5 == 0 else i % 3, float(i % 7) - 3, None if i % 11 == 0 else i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "pclass double, sibsp int, parch double, y int").repartition(3)
+    population = [candidate(random.Random(i), 3) for i in range(40)] + [("div", "parch", "sibsp"), ("max", "sibsp", -1.0), "parch"]
+    got = {r.candidate: r.fitness for r in rules.population_fitness(df, population, "y").collect()}
+    hits = [F.avg(F.coalesce((reversed_logistic(expression(c)) == F.col("y")).cast("double"), F.lit(0.0))).alias(str(i))
+            for i, c in enumerate(population)]
+    assert got == pytest.approx({int(k): v for k, v in df.agg(*hits).first().asDict().items()})
