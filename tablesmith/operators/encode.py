@@ -82,8 +82,10 @@ def label_codes(df: DataFrame, outputs: Mapping[str, str], key: str, by: Sequenc
         kind, chain = df.schema[column].dataType, F.lit(None).cast("int")
         for group, values in known[column].items():
             here = [F.col(k) == F.lit(v) for k, v in zip(by, group)]
-            entries = [x for i, v in enumerate(values) for x in (F.lit(v).cast(kind).cast("string"), F.lit(i))]
-            code = F.try_element_at(F.create_map(*entries), F.col(column).cast("string"))
+            entries = [x for i, v in enumerate(values) for x in (F.lit(v + 0.0 if isinstance(v, float) else v).cast(kind).cast("string"), F.lit(i))]
+            # 0.0 and -0.0 are one value and need one text
+            own = F.col(column) + F.lit(0.0).cast(kind) if kind.typeName() in ("float", "double") else F.col(column)
+            code = F.try_element_at(F.create_map(*entries), own.cast("string"))
             chain = F.when(reduce(lambda a, b: a & b, here, F.lit(True)), code).otherwise(chain)
         columns[output] = chain
     coded = df.withColumns(columns) if columns else df

@@ -370,3 +370,11 @@ def test_population_fitness_equals_column_expressions(spark):
     hits = [F.avg(F.coalesce((reversed_logistic(expression(c)) == F.col("y")).cast("double"), F.lit(0.0))).alias(str(i))
             for i, c in enumerate(population)]
     assert got == pytest.approx({int(k): v for k, v in df.agg(*hits).first().asDict().items()})
+
+
+@pytest.mark.parametrize("limit", [64, 1])
+def test_label_codes_of_zeros(spark, limit):
+    """Both zeros are one level, as literals and as a join."""
+    df = spark.createDataFrame([(1, 0.0), (2, -0.0), (3, 2.5), (4, float("nan")), (5, None)], "id long, x double")
+    got = encode.label_codes(df, {"x": "c"}, "id", by=(), literal_limit=limit)
+    assert {r.id: r.c for r in got.collect()} == {1: 0, 2: 0, 3: 1, 4: 2, 5: None}
