@@ -9,14 +9,17 @@
    groups than that has an agreeing group that is not empty: it is keyed at a few more groups
    than d + 1 and goes on to more groups only while too many are empty. Of a linked pair both
    are keyed at the step where the first of them ends. In the last step empty groups count.
-3. Sets that are connected by keys form a candidate cluster. A cluster is dealt into blocks, and
-   each pair of blocks is joined in a task: group counts of each set are a point, points are
-   packed into R-tree leaves with bounding boxes, and the overlap of two boxes, then of two points, is
-   bounded by the sum of the smaller coordinates. Surviving pairs are verified on the sets, unless
-   links found before already connect them.
-4. Links of all tasks give the connected components.
-
-Nothing is capped: large clusters only mean more block pairs, and no task sends out more links than
+3. Sets that are connected by keys form a candidate cluster. A small cluster is joined in one task: group
+   counts of each set are a point, points are packed into R-tree leaves with bounding boxes, and the overlap
+   of two boxes, then of two points, is bounded by the sum of the smaller coordinates. Surviving
+   pairs are verified on the sets, unless links found before already connect them.
+4. In a large cluster each set is first verified against the one it shares most keys with, which makes
+   one class of most copies. Then points, not sets, are dealt into blocks by size, the tree's inner
+   nodes; pairs of blocks whose boxes cannot hold a link are dropped, and the others are joined as
+   above. Only sets with a surviving partner of another class are sent to a pair of blocks and verified.
+5. Links of all tasks give the connected components.
+
+Nothing is capped: large clusters only mean more pairs of blocks, and no task sends out more links than
 it has sets.
 """
 
@@ -28,7 +31,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tablesmith.llm.components import components
 from tablesmith.llm.storage import beside_texts, saved, small_batches
@@ -36,10 +39,13 @@ from tablesmith.llm.words import GOLDEN, MIX_1, WordHashes, ascii_words, mix, ng
 
 SHINGLE = 3
 LADDER = (1.06, 1.12, 1.25, 1.5, 2.0)
-GROUPS = 32
+GROUP_BITS = 7
+GROUPS = 1 << GROUP_BITS
 LEAF = 16
 BLOCK_TOKENS = 400_000
 BLOCK_ROWS = 1024
+POINT_BLOCK = 4    # a block of points, in blocks of sets
+BAND = math.log(1.05)
 
 
 class Threshold:
@@ -143,43 +149,46 @@ def sketch(docs: DataFrame, threshold: Threshold, n: int = SHINGLE) -> DataFrame
         run, f"doc_id {kind}, n_shingles long, node long, keys array<long>")
 
 
-def clusters(points: DataFrame) -> DataFrame:
-    """(node, component) of the candidate clusters: different sets connected by shared keys."""
+def meetings(points: DataFrame) -> DataFrame:
+    """(node, low, n): sets and the smallest node with which each shares n keys."""
     rows = points.select("node", F.explode("keys").alias("key"))
     shared = (rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
               .where("low <> high").select("key", "low"))
-    return components(rows.join(shared, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")))
+    return saved(rows.join(shared, "key").where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n")), "meetings")
+
+
+def clusters(met: DataFrame) -> DataFrame:
+    """(node, component) of the candidate clusters: different sets connected by shared keys."""
+    return components(met.select(F.col("node").alias("a"), F.col("low").alias("b")))
 
 
-def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
-    """One point per set: how many of its tokens fall into each group."""
-    out = np.zeros((len(sets), GROUPS), np.int32)
-    for i, shingles in enumerate(sets):
-        out[i] = np.bincount((shingles >> np.uint64(64 - 5)).astype(np.int64), minlength=GROUPS)
-    return out
+def count_vector(shingles: np.ndarray) -> np.ndarray:
+    """The point of a set: how many of its tokens fall into each group."""
+    return np.bincount((shingles >> np.uint64(64 - GROUP_BITS)).astype(np.int64), minlength=GROUPS)
 
 
 class Tree:
     """Bulk-loaded R-tree over points of one block: leaves of neighbours in size and direction."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets, self.points = sets, count_vectors(sets)
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        order = np.lexsort((*self.points[:, :4].T, self.sizes))
+    def __init__(self, points: np.ndarray):
+        self.points, self.sizes = points, points.sum(1, dtype=np.int64)
+        order = np.lexsort((*points[:, :4].T, self.sizes))
         self.leaves = [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
-        self.high = np.stack([self.points[leaf].max(0) for leaf in self.leaves])
+        self.high = np.stack([points[leaf].max(0) for leaf in self.leaves])
         self.low_size = np.array([self.sizes[leaf].min() for leaf in self.leaves])
 
+    @classmethod
+    def of_sets(cls, sets: list[np.ndarray]) -> Tree:
+        return cls(np.stack([count_vector(s) for s in sets]).astype(np.int32))
 
-def join_trees(a: Tree, b: Tree, same: bool, t: Threshold) -> list[tuple[int, int]]:
-    """Links between the blocks that suffice to connect all sets that are linked.
+
+def near_points(a: Tree, b: Tree, name_a: np.ndarray, name_b: np.ndarray, t: Threshold) -> Iterator[tuple[int, np.ndarray]]:
+    """(row of a, rows of b of another name that it may be linked with).
 
     A pair of leaves is skipped if the summed minima of their upper corners cannot reach the
-    overlap that their smallest sets need; so is a pair of points by its own summed minima.
+    overlap that their smallest sets need; so is a pair of points by its own summed minima. Names
+    are read when a row's turn comes.
     """
-    links, name_a = [], np.arange(len(a.sets))
-    name_b = name_a if same else len(a.sets) + np.arange(len(b.sets))
-
     for i, leaf in enumerate(a.leaves):
         bound = np.minimum(a.high[i], b.high).sum(1)
         near = np.flatnonzero(bound >= t.needed(a.low_size[i], b.low_size))
@@ -187,66 +196,184 @@ def join_trees(a: Tree, b: Tree, same: bool, t: Threshold) -> list[tuple[int, in
             continue
         others = np.concatenate([b.leaves[j] for j in near])
         for x in leaf:
-            rest = others[name_b[others] != name_a[x]]
-            overlap = np.minimum(a.points[x], b.points[rest]).sum(1)
-            for y in rest[overlap >= t.needed(a.sizes[x], b.sizes[rest])]:
-                if name_a[x] == name_b[y]:
-                    continue
-                common = len(np.intersect1d(a.sets[x], b.sets[y], assume_unique=True))
-                if common >= t.needed(a.sizes[x], b.sizes[y]):
-                    links.append((int(x), int(y)))
-                    old, new = name_b[y], name_a[x]
-                    name_b[name_b == old] = new
-                    if not same:
-                        name_a[name_a == old] = new
-    return links
+            rest = others[(name_b[others] != name_a[x]) & (np.minimum(a.sizes[x], b.sizes[others]) >= t.needed(a.sizes[x], b.sizes[others]))]
+            if len(rest):
+                rest = rest[np.minimum(a.points[x], b.points[rest]).sum(1) >= t.needed(a.sizes[x], b.sizes[rest])]
+            if len(rest):
+                yield int(x), rest
 
 
-def links(docs: DataFrame, points: DataFrame, found: DataFrame, t: Threshold, n: int = SHINGLE) -> DataFrame:
-    """(a, b) nodes whose sets reach the threshold, enough of them to connect every group."""
-    one = (points.join(found, "node").groupBy("node", "component", "n_shingles").agg(F.min("doc_id").alias("doc_id")))
-    size = one.groupBy("component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("tokens"))
-    one = one.join(size, "component").withColumn(
-        "blocks", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("tokens") / BLOCK_TOKENS)).cast("int"))
+def linked(x: np.ndarray, y: np.ndarray, t: Threshold) -> bool:
+    return len(np.intersect1d(x, y, assume_unique=True)) >= t.needed(len(x), len(y))
+
+
+def join_sets(a: list[np.ndarray], b: list[np.ndarray], name_a: np.ndarray, name_b: np.ndarray, t: Threshold) -> list[tuple[int, int]]:
+    """Links between two blocks that suffice to connect all sets that are linked.
+
+    Equal names are connected already; of one block, both names are the same array. The arrays are changed.
+    """
+    links, tree = [], Tree.of_sets(a)
+    for x, rest in near_points(tree, tree if b is a else Tree.of_sets(b), name_a, name_b, t):
+        for y in rest:
+            if name_a[x] != name_b[y] and linked(a[x], b[y], t):
+                links.append((x, int(y)))
+                old, new = name_b[y], name_a[x]
+                name_b[name_b == old] = new
+                name_a[name_a == old] = new
+    return links
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def candidate_sets(docs: DataFrame, one: DataFrame, n: int) -> DataFrame:
+    """component, wide, node, shingles, and in wide clusters the counts, of the rows of ``one``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             found = [shingle_set(text.as_py(), hashes, n) for text in batch.column("text")]
             own = [signature(s) == node for s, node in zip(found, batch.column("node").to_pylist())]  # not so if ids repeat
+            counts = [count_vector(s) if wide else () for s, wide in zip(found, batch.column("wide").to_pylist())]
             rows = pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("component", "node", "blocks")],
-                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
-                ["component", "node", "blocks", "shingles"])
+                [*[batch.column(c) for c in ("component", "wide", "node")],
+                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
+                ["component", "wide", "node", "shingles", "counts"])
             yield rows.filter(pa.array(own, pa.bool_()))
 
-    ready = (docs.select("doc_id", "text").join(beside_texts(one), "doc_id").select("component", "node", "blocks", "text")
-             .mapInArrow(sets, "component long, node long, blocks int, shingles array<long>")
-             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")))
-    # every block meets itself and every other one once: (i, j), i <= j
-    cell = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                       lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    cells = saved(ready, "sets").withColumn("cell", F.explode(cell)).select("component", "cell.*", "block", "node", "shingles")
-
-    def verify(key: tuple, table: pa.Table) -> pa.Table:
-        nodes, block = table.column("node").to_numpy(), table.column("block").to_numpy()
-        order = np.argsort(nodes, kind="stable")
-        nodes, block = nodes[order], block[order]
-        once = np.append(True, nodes[1:] != nodes[:-1])
-        lists = table.column("shingles").combine_chunks()
+    ready = docs.select("doc_id", "text").join(beside_texts(one), "doc_id").select("component", "wide", "node", "text")
+    return saved(ready.mapInArrow(run, "component long, wide boolean, node long, shingles array<long>, counts array<int>"), "sets")
+
+
+def star_links(sets: DataFrame, stars: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b) where the set of a node reaches the threshold with that of its center.
+
+    ``stars``: node, center. A center of many nodes is sent once per BLOCK_ROWS of them, and
+    rows of a center pass one by one, so no group is held.
+    """
+    copies = F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("copies")
+    centers = saved(stars.groupBy("center").agg(copies), "centers")
+    hub = (sets.join(beside_texts(centers.withColumnRenamed("center", "node")), "node")
+           .select(F.col("node").alias("center"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
+                   F.lit(0).alias("role"), "node", "shingles"))
+    spokes = (sets.join(beside_texts(stars.join(centers, "center")), "node")
+              .select("center", F.pmod(F.xxhash64("node"), F.col("copies")).cast("int").alias("copy"), F.lit(1).alias("role"),
+                      "node", "shingles"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        center, held = None, None
+        for batch in batches:
+            out, values = [], batch.column("shingles")
+            for row, (key, role, node) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("center", "role", "node")])):
+                mine = values[row].values.to_numpy()
+                if role == 0:
+                    center, held = key, mine
+                elif center == key and linked(mine, held, t):
+                    out.append((node, key))
+            a, b = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    rows = hub.union(spokes).repartition("center", "copy").sortWithinPartitions("center", "copy", "role")
+    return saved(small_batches(rows).mapInArrow(run, "a long, b long"), "stars")
+
+
+def point_blocks(sets: DataFrame, one: DataFrame, near: DataFrame) -> DataFrame:
+    """component, block, node, class, size and counts of wide clusters.
+
+    Blocks follow the size of the sets: sets of a cluster are counted by narrow bands of
+    sizes, a running total over the (boundedly many) bands says where a band begins, and a
+    set's hash says where in its band it lies.
+    """
+    weight = F.greatest(F.lit(1.0) / BLOCK_ROWS, F.col("n_shingles") / float(BLOCK_TOKENS))
+    flat = (one.select("component", "node", "n_shingles", weight.alias("w"), F.floor(F.log("n_shingles") / BAND).alias("band"))
+            .join(near.select("node", F.col("component").alias("class")), "node", "left"))
+    order = Window.partitionBy("component").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = (flat.groupBy("component", "band").agg(F.sum("w").alias("width"))
+             .withColumn("before", F.coalesce(F.sum("width").over(order), F.lit(0.0))))
+    spot = F.col("before") + F.col("width") * F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
+    place = flat.join(bands, ["component", "band"]).select(
+        "node", F.coalesce("class", "node").alias("class"), F.floor(spot / POINT_BLOCK).cast("int").alias("block"))
+    return saved(sets.select("component", "node", F.size("shingles").alias("size"), "counts").join(beside_texts(place), "node")
+                 .select("component", "block", "node", "class", "size", "counts"), "blocks")
+
+
+def block_pairs(blocks: DataFrame, t: Threshold) -> DataFrame:
+    """component, block, i, j: the pairs of blocks (i <= j) whose boxes can hold a link, once per side."""
+    corner = F.array(*[F.max(F.col("counts")[g]) for g in range(GROUPS)])
+    boxes = saved(blocks.groupBy("component", "block").agg(
+        F.min("size").cast("long").alias("low"), F.max("size").cast("long").alias("high"), corner.alias("corner")), "boxes")
+    a, b = [boxes.select("component", *[F.col(c).alias(f"{c}_{side}") for c in ("block", "low", "high", "corner")]) for side in "ab"]
+    bound = F.aggregate(F.zip_with("corner_a", "corner_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda total, x: total + x)
+    sizes = F.least("high_a", "high_b", bound) * (t.p + t.q) >= (F.col("low_a") + F.col("low_b")) * t.p
+    ratio = (F.col("high_a") * t.q >= F.col("low_b") * t.p) & (F.col("high_b") * t.q >= F.col("low_a") * t.p)
+    return (a.join(b, "component").where("block_a <= block_b").where(sizes & ratio)
+            .select("component", F.explode(F.array_distinct(F.array("block_a", "block_b"))).alias("block"),
+                    F.col("block_a").alias("i"), F.col("block_b").alias("j")))
+
+
+def _sides(key: tuple, table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """Table ordered by node, rows of block i and of block j (a node once), and the rows' classes."""
+    table = table.sort_by("node").combine_chunks()
+    nodes, block = table.column("node").to_numpy(), table.column("block").to_numpy()
+    once = np.append(True, nodes[1:] != nodes[:-1])[:len(nodes)]
+    left, right = [np.flatnonzero((block == k.as_py()) & once) for k in key[1:3]]
+    return table, left, right, table.column("class").to_numpy()
+
+
+def partners(blocks: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
+    """component, i, j, block, node, class of the points that have a partner in a pair of blocks."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table, left, right, names = _sides(key, table)
+        busy = np.zeros(table.num_rows, bool)
+        if len(left) and len(right):
+            points = table.column("counts").combine_chunks().values.to_numpy().reshape(-1, GROUPS)
+            a = Tree(points[left])
+            b = a if key[1] == key[2] else Tree(points[right])
+            for x, rest in near_points(a, b, names[left], names[right], t):
+                busy[left[x]] = True
+                busy[right[rest]] = True
+        return table.filter(pa.array(busy)).select(["component", "i", "j", "block", "node", "class"])
+
+    return (blocks.join(beside_texts(pairs), ["component", "block"]).groupBy("component", "i", "j")
+            .applyInArrow(run, "component long, i int, j int, block int, node long, class long"))
+
+
+def verified(cells: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b) links within each pair of blocks: component, i, j, block, node, class, shingles."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table, left, right, names = _sides(key, table)
+        nodes, lists = table.column("node").to_numpy(), table.column("shingles").combine_chunks()
         ends, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-        sets = [values[ends[k]:ends[k + 1]] for k in order]
-        i, j = key[1].as_py(), key[2].as_py()
-        left, right = [np.flatnonzero((block == side) & once) for side in (i, j)]
         pairs = []
         if len(left) and len(right):
-            a = Tree([sets[k] for k in left])
-            b = a if i == j else Tree([sets[k] for k in right])
-            pairs = join_trees(a, b, i == j, t)
+            a = [values[ends[k]:ends[k + 1]] for k in left]
+            name_a = names[left].copy()
+            one = key[1] == key[2]
+            pairs = join_sets(a, a if one else [values[ends[k]:ends[k + 1]] for k in right],
+                              name_a, name_a if one else names[right].copy(), t)
         return pa.table({"a": pa.array([int(nodes[left[x]]) for x, _ in pairs], pa.int64()),
                          "b": pa.array([int(nodes[right[y]]) for _, y in pairs], pa.int64())})
 
-    return cells.groupBy("component", "i", "j").applyInArrow(verify, "a long, b long")
+    return cells.groupBy("component", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def links(docs: DataFrame, points: DataFrame, met: DataFrame, t: Threshold, n: int = SHINGLE) -> DataFrame:
+    """(a, b) nodes whose sets reach the threshold, enough of them to connect every group."""
+    one = points.join(clusters(met), "node").groupBy("node", "component", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    size = one.groupBy("component").agg(
+        ((F.count(F.lit(1)) > BLOCK_ROWS) | (F.sum("n_shingles") > BLOCK_TOKENS)).alias("wide"))
+    one = saved(one.join(size, "component"), "candidates")
+    sets = candidate_sets(docs, one, n)
+    zero = F.lit(0)
+    found = verified(sets.where("NOT wide").select("component", zero.alias("i"), zero.alias("j"), zero.alias("block"), "node",
+                                                   F.col("node").alias("class"), "shingles"), t)
+    many = one.where("wide")
+    if many.isEmpty():
+        return found
+    sets = sets.where("wide")
+    stars = met.groupBy("node").agg(F.max_by("low", F.struct("n", "low")).alias("center")).join(many.select("node"), "node")
+    near = star_links(sets.select("node", "shingles"), stars, t)
+    blocks = point_blocks(sets, many, components(near))
+    busy = partners(blocks, block_pairs(blocks, t), t)
+    cells = sets.select("node", "shingles").join(beside_texts(busy), "node").select(
+        "component", "i", "j", "block", "node", "class", "shingles")
+    return found.union(near).union(verified(cells, t))
 
 
 def join(docs: DataFrame, similarity: float = 0.9, n: int = SHINGLE) -> DataFrame:
@@ -259,11 +386,10 @@ def join(docs: DataFrame, similarity: float = 0.9, n: int = SHINGLE) -> DataFram
     t = Threshold(similarity)
     points = saved(sketch(docs, t, n), "points")
     named = points.where("node <> 0 AND doc_id IS NOT NULL")
-    found = clusters(named)
-    linked = components(links(docs, named, found, t, n))
+    connected = components(links(docs, named, meetings(named), t, n))
     # documents and sets as one graph: a set stands for its documents, components join sets
     group = F.coalesce("component", "node")
-    keyed = (named.select("doc_id", "n_shingles", "node").join(linked, "node", "left")
+    keyed = (named.select("doc_id", "n_shingles", "node").join(connected, "node", "left")
              .select("doc_id", "n_shingles", group.alias("group")))
     smallest = keyed.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
     more = saved(smallest.where("rows > 1").drop("rows"), "groups")
