@@ -39,6 +39,7 @@ from tablesmith.llm.words import GOLDEN, MIX_1, WordHashes, ascii_words, mix, ng
 
 SHINGLE = 3
 LADDER = (1.06, 1.12, 1.25, 1.5, 2.0)
+KEY_BITS = 27
 GROUP_BITS = 7
 GROUPS = 1 << GROUP_BITS
 LEAF = 16
@@ -149,12 +150,40 @@ def sketch(docs: DataFrame, threshold: Threshold, n: int = SHINGLE) -> DataFrame
         run, f"doc_id {kind}, n_shingles long, node long, keys array<long>")
 
 
+def key_mask(keys: DataFrame) -> np.ndarray:
+    """One bit per value of the upper KEY_BITS bits of a key, set where ``keys`` holds one: 16 MB, whatever the table."""
+    slot = F.shiftrightunsigned("key", 64 - KEY_BITS) + 1
+    parts = (keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect())
+    mask = np.zeros(1 << (KEY_BITS - 3), np.uint8)
+    for part, bits in parts:
+        mask[(part - 1) * len(bits):part * len(bits)] = np.frombuffer(bits, np.uint8)
+    return mask
+
+
 def meetings(points: DataFrame) -> DataFrame:
-    """(node, low, n): sets and the smallest node with which each shares n keys."""
+    """(node, low, n): sets and the smallest node with which each shares n keys.
+
+    Keys go out once to find those of more than one set. Keys that the mask rules out are not sent
+    again; a bit that others set as well only sends some in vain.
+    """
     rows = points.select("node", F.explode("keys").alias("key"))
-    shared = (rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-              .where("low <> high").select("key", "low"))
-    return saved(rows.join(shared, "key").where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n")), "meetings")
+    shared = saved(rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+                   .where("low <> high").select("key", "low"), "shared")
+    mask = points.sparkSession.sparkContext.broadcast(key_mask(shared))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = mask.value
+        for batch in batches:
+            lists = batch.column("keys")
+            keys, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            slot = keys.view(np.uint64) >> np.uint64(64 - KEY_BITS)
+            hit = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            node = np.repeat(batch.column("node").to_numpy(), size)
+            yield pa.RecordBatch.from_arrays([pa.array(node[hit]), pa.array(keys[hit])], ["node", "key"])
+
+    held = small_batches(points).select("node", "keys").mapInArrow(run, "node long, key long")
+    return saved(held.join(shared, "key").where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n")), "meetings")
 
 
 def clusters(met: DataFrame) -> DataFrame:
