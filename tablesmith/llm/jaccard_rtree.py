@@ -13,8 +13,8 @@
    counts of each set are a point, points are packed into R-tree leaves with bounding boxes, and the overlap
    of two boxes, then of two points, is bounded by the sum of the smaller coordinates. Surviving
    pairs are verified on the sets, unless links found before already connect them.
-4. In a large cluster each set is first verified against the one it shares most keys with, which makes
-   one class of most copies. Then points, not sets, are dealt into blocks by size, the tree's inner
+4. In a large cluster a set that shares some keys with another is first verified against the one it
+   shares most with, which makes one class of most copies. Then points, not sets, are dealt into blocks by size, the tree's inner
    nodes; pairs of blocks whose boxes cannot hold a link are dropped, and the others are joined as
    above. Only sets with a surviving partner of another class are sent to a pair of blocks and verified.
 5. Links of all tasks give the connected components.
@@ -31,6 +31,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tablesmith.llm.components import components
@@ -40,6 +41,7 @@ from tablesmith.llm.words import GOLDEN, MIX_1, WordHashes, ascii_words, mix, ng
 SHINGLE = 3
 LADDER = (1.06, 1.12, 1.25, 1.5, 2.0)
 KEY_BITS = 27
+STAR_KEYS = 4      # fewer shared keys hardly mean a copy; effort only
 GROUP_BITS = 7
 GROUPS = 1 << GROUP_BITS
 LEAF = 16
@@ -130,8 +132,14 @@ def signature(shingles: np.ndarray) -> int:
     return int(mix(np.array([mix(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))])).view(np.int64)[0]) or 1
 
 
-def sketch(docs: DataFrame, threshold: Threshold, n: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, node (the name of the set) and keys of every document."""
+def held_keys(keys: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The keys whose bit is set in a mask."""
+    slot = keys.view(np.uint64) >> np.uint64(64 - KEY_BITS)
+    return keys[(mask[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+
+
+def sketch(docs: DataFrame, threshold: Threshold, n: int = SHINGLE, mask: Broadcast | None = None) -> DataFrame:
+    """doc_id, n_shingles, node (the name of the set) and keys, or those that the mask holds, of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
@@ -140,7 +148,8 @@ def sketch(docs: DataFrame, threshold: Threshold, n: int = SHINGLE) -> DataFrame
                 shingles = shingle_set(text.as_py(), hashes, n)
                 sizes.append(len(shingles))
                 nodes.append(signature(shingles))
-                keys.append(group_keys(shingles, threshold))
+                own = group_keys(shingles, threshold)
+                keys.append(own if mask is None else held_keys(own, mask.value))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "node", "keys"])
@@ -161,29 +170,17 @@ def key_mask(keys: DataFrame) -> np.ndarray:
     return mask
 
 
-def meetings(points: DataFrame) -> DataFrame:
-    """(node, low, n): sets and the smallest node with which each shares n keys.
-
-    Keys go out once to find those of more than one set. Keys that the mask rules out are not sent
-    again; a bit that others set as well only sends some in vain.
-    """
+def shared_keys(points: DataFrame) -> DataFrame:
+    """(key, low): keys of more than one set, and the smallest node of each."""
     rows = points.select("node", F.explode("keys").alias("key"))
-    shared = saved(rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-                   .where("low <> high").select("key", "low"), "shared")
-    mask = points.sparkSession.sparkContext.broadcast(key_mask(shared))
+    return saved(rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+                 .where("low <> high").select("key", "low"), "shared")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = mask.value
-        for batch in batches:
-            lists = batch.column("keys")
-            keys, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-            slot = keys.view(np.uint64) >> np.uint64(64 - KEY_BITS)
-            hit = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            node = np.repeat(batch.column("node").to_numpy(), size)
-            yield pa.RecordBatch.from_arrays([pa.array(node[hit]), pa.array(keys[hit])], ["node", "key"])
 
-    held = small_batches(points).select("node", "keys").mapInArrow(run, "node long, key long")
-    return saved(held.join(shared, "key").where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n")), "meetings")
+def meetings(points: DataFrame, shared: DataFrame) -> DataFrame:
+    """(node, low, n): sets and the smallest node with which each shares n keys."""
+    rows = points.select("node", F.explode("keys").alias("key"))
+    return saved(rows.join(shared, "key").where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n")), "meetings")
 
 
 def clusters(met: DataFrame) -> DataFrame:
@@ -253,21 +250,21 @@ def join_sets(a: list[np.ndarray], b: list[np.ndarray], name_a: np.ndarray, name
 
 
 def candidate_sets(docs: DataFrame, one: DataFrame, n: int) -> DataFrame:
-    """component, wide, node, shingles, and in wide clusters the counts, of the rows of ``one``."""
+    """component, node, shingles and counts of the rows of ``one``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             found = [shingle_set(text.as_py(), hashes, n) for text in batch.column("text")]
             own = [signature(s) == node for s, node in zip(found, batch.column("node").to_pylist())]  # not so if ids repeat
-            counts = [count_vector(s) if wide else () for s, wide in zip(found, batch.column("wide").to_pylist())]
+            counts = [count_vector(s) for s in found]
             rows = pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("component", "wide", "node")],
+                [*[batch.column(c) for c in ("component", "node")],
                  pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
-                ["component", "wide", "node", "shingles", "counts"])
+                ["component", "node", "shingles", "counts"])
             yield rows.filter(pa.array(own, pa.bool_()))
 
-    ready = docs.select("doc_id", "text").join(beside_texts(one), "doc_id").select("component", "wide", "node", "text")
-    return saved(ready.mapInArrow(run, "component long, wide boolean, node long, shingles array<long>, counts array<int>"), "sets")
+    ready = docs.select("doc_id", "text").join(beside_texts(one), "doc_id").select("component", "node", "text")
+    return ready.mapInArrow(run, "component long, node long, shingles array<long>, counts array<int>")
 
 
 def star_links(sets: DataFrame, stars: DataFrame, t: Threshold) -> DataFrame:
@@ -388,15 +385,16 @@ def links(docs: DataFrame, points: DataFrame, met: DataFrame, t: Threshold, n: i
     size = one.groupBy("component").agg(
         ((F.count(F.lit(1)) > BLOCK_ROWS) | (F.sum("n_shingles") > BLOCK_TOKENS)).alias("wide"))
     one = saved(one.join(size, "component"), "candidates")
-    sets = candidate_sets(docs, one, n)
     zero = F.lit(0)
-    found = verified(sets.where("NOT wide").select("component", zero.alias("i"), zero.alias("j"), zero.alias("block"), "node",
-                                                   F.col("node").alias("class"), "shingles"), t)
+    small = candidate_sets(docs, one.where("NOT wide").select("doc_id", "component", "node"), n)
+    found = verified(small.select("component", zero.alias("i"), zero.alias("j"), zero.alias("block"), "node",
+                                  F.col("node").alias("class"), "shingles"), t)
     many = one.where("wide")
     if many.isEmpty():
         return found
-    sets = sets.where("wide")
-    stars = met.groupBy("node").agg(F.max_by("low", F.struct("n", "low")).alias("center")).join(many.select("node"), "node")
+    sets = saved(candidate_sets(docs, many.select("doc_id", "component", "node"), n), "sets")
+    stars = (met.groupBy("node").agg(F.max(F.struct("n", "low")).alias("most")).where(F.col("most.n") >= STAR_KEYS)
+             .join(many.select("node"), "node").select("node", F.col("most.low").alias("center")))
     near = star_links(sets.select("node", "shingles"), stars, t)
     blocks = point_blocks(sets, many, components(near))
     busy = partners(blocks, block_pairs(blocks, t), t)
@@ -413,9 +411,13 @@ def join(docs: DataFrame, similarity: float = 0.9, n: int = SHINGLE) -> DataFram
     its row gets a null component; rows that repeat an id count as one document.
     """
     t = Threshold(similarity)
-    points = saved(sketch(docs, t, n), "points")
-    named = points.where("node <> 0 AND doc_id IS NOT NULL")
-    connected = components(links(docs, named, meetings(named), t, n))
+    some = "node <> 0 AND doc_id IS NOT NULL"
+    # keys go out once, to find those of more than one set; only keys that a mask of these holds are kept
+    shared = shared_keys(sketch(docs, t, n).where(some))
+    mask = docs.sparkSession.sparkContext.broadcast(key_mask(shared))
+    points = saved(sketch(docs, t, n, mask), "points")
+    named = points.where(some)
+    connected = components(links(docs, named, meetings(named, shared), t, n))
     # documents and sets as one graph: a set stands for its documents, components join sets
     group = F.coalesce("component", "node")
     keyed = (named.select("doc_id", "n_shingles", "node").join(connected, "node", "left")
