@@ -129,13 +129,15 @@ class WordEncoder:
     """Ids of texts by a word-level vocabulary that drops white space and case.
 
     White space never joins two words, so each distinct word is cut and its pieces are merged by
-    the library's model once per worker. Texts that are not in Unicode normal form C go to the library as a whole.
+    the library's model once per worker. Texts that are not in Unicode normal form C, or that hold an added token in
+    any case, go to the library as a whole, which cuts added tokens out first.
     """
 
     def __init__(self, tokenizer_json: str, limit: int = 800_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.lower = self.tokenizer.model, normalizers.Lowercase().normalize_str
+        added = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = regex.compile(b"|".join(regex.escape(c.encode("utf-8")) for c in sorted(added) if c) or b"(?!)")
         self.stand_in = dict(enumerate(byte_characters()))
         self.limit, self.words, self.pieces = limit, {}, {}
 
@@ -158,7 +160,7 @@ class WordEncoder:
         if not text:
             return b""
         raw = text.encode("utf-8").lower()
-        if not text.isascii() and not (unicodedata.is_normalized("NFC", text)
+        if self.added.search(raw) or not text.isascii() and not (unicodedata.is_normalized("NFC", text)
                                        and unicodedata.is_normalized("NFC", raw.decode("utf-8"))):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words, known = raw.split(), self.words

@@ -327,6 +327,17 @@ def test_word_encoder_equals_library():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_word_encoder_cuts_added_tokens():
+    path = tokens.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), token_files.WordEncoder(open(path, encoding="utf-8").read())
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert added
+    for token in added:
+        for text in (token, f"hello {token} world", f"a{token}b", f"x {token.upper()} y", f"{token}{token}", f"é{token} 日"):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, text
+
+
 def test_frames_and_random_access(monkeypatch):
     monkeypatch.setattr(token_files, "FRAME_IDS", 10)
     out = io.BytesIO()
