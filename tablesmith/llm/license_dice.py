@@ -1,14 +1,18 @@
 """Licence scan by the Dice coefficient over word bigrams, in DataFrame functions only.
 
-Units of a text are its lines, and its paragraphs of more than one line. A unit is normalised
+Units of a text are its lines, its paragraphs of more than one line, and in lines of several
+sentences the runs of as many sentences as a template has at most. A unit is normalised
 (lower case, runs of anything but letters and digits become one space) and compared with the
-templates that its number of bigrams admits: a Dice coefficient of t needs sizes within a
-factor of (2 - t) / t.
+templates that its number of distinct bigrams admits: a Dice coefficient of t needs sizes within a
+factor of (2 - t) / t, and a unit that reaches it lacks only so many bigrams of the template that
+of one more, whichever are chosen, it holds one. Texts without any of the chosen are left out unsplit.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,19 +27,34 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                 "or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                 "or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                 "General Public License as published by the Free Software Foundation, either version 3 of the License, "
                 "or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
             "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
             "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+                "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
 SEPARATORS = r"[^\p{L}\p{N}]+"
 PARAGRAPHS = r"\n[ \t\r]*\n"
+SENTENCE_ENDS = r"([.!?])[ \t\r]+"
 
 
 def template_bigrams(text: str) -> list[str]:
@@ -49,69 +68,119 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     return math.ceil(n / factor - 1e-9), math.floor(n * factor + 1e-9)
 
 
-def _words(unit: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(F.lower(unit), SEPARATORS, " ")), " ")
+def marks(grams: list[str], threshold: float) -> list[str]:
+    """Bigrams of a template of which every unit that reaches the threshold holds at least one.
+
+    Such a unit holds as many of the template's bigrams as the lower size bound. Those with the longest words
+    are chosen, as they are likely rare; that is effort only.
+    """
+    low, _ = size_bounds(len(grams), threshold)
+    return sorted(grams, key=lambda g: (-max(map(len, g.split())), g))[:len(grams) - low + 1]
+
+
+def sentences_of(templates: list[tuple[str, str]]) -> int:
+    """Sentences of the template that has most of them."""
+    return max(len(re.split(SENTENCE_ENDS, text)) // 2 + 1 for _, text in templates)
+
+
+def _spaced(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), SEPARATORS, " "))
+
+
+def _holds_one(text: Column, parts: set[str]) -> Column:
+    # as the argument of a function the text is computed once, not once per part
+    return F.exists(F.array(text), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(part)) for part in sorted(parts)]))
+
+
+def units(docs: DataFrame, longest: int) -> DataFrame:
+    """doc_id, unit, place, first, length, body: lines, paragraphs and runs of up to ``longest`` sentences of a line."""
+    zero = F.lit(0)
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "body"))
+    blocks = (docs.select("doc_id", F.posexplode(F.split("text", PARAGRAPHS)).alias("place", "body"))
+              .where(F.contains("body", F.lit("\n"))))
+    ended = (lines.select("doc_id", "place", F.split(F.regexp_replace("body", SENTENCE_ENDS, "$1\n"), "\n").alias("s"))
+             .where(F.size("s") > 1))
+    starts = (ended.select("doc_id", "place", "s", F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("length"))
+              .where(F.col("length") < F.size("s"))
+              .select("doc_id", "place", "length", "s", F.explode(F.sequence(zero, F.size("s") - F.col("length"))).alias("first")))
+    runs = starts.select("doc_id", F.lit("sentences").alias("unit"), "place", "first", "length",
+                         F.array_join(F.slice("s", F.col("first") + 1, F.col("length")), " ").alias("body"))
+    whole = [rows.select("doc_id", F.lit(name).alias("unit"), "place", zero.alias("first"), zero.alias("length"), "body")
+             for name, rows in (("line", lines), ("paragraph", blocks))]
+    return whole[0].union(whole[1]).union(runs)
 
 
 def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """Each unit of ``docs`` that resembles a template: doc_id, unit, place, license, template, dice.
+    """Each unit of ``docs`` that resembles a template: doc_id, unit, place, first, length, license, template, dice.
 
-    ``place`` counts lines or paragraphs from 0. Null and empty texts, and units of fewer than
-    two words, match nothing. The table of templates is part of the plan; keep it to notices.
+    ``place`` counts lines or paragraphs from 0; ``first`` and ``length`` are the sentences of a run in its
+    line, else 0. Null and empty texts, units of fewer than two words, and templates of fewer match
+    nothing. Other columns are not read. The table of templates is part of the plan; keep it to notices.
     """
-    known = [(name, template_bigrams(text)) for name, text in templates]
-    bounds = [size_bounds(len(grams), threshold) for _, grams in known]
-    lines = docs.select("doc_id", F.lit("line").alias("unit"), F.posexplode(F.split("text", "\n")).alias("place", "body"))
-    blocks = (docs.select("doc_id", F.lit("paragraph").alias("unit"),
-                          F.posexplode(F.split("text", PARAGRAPHS)).alias("place", "body"))
-              .where(F.col("body").contains("\n")))
-    size = F.size("words") - 1
-    sized = (lines.union(blocks).select("doc_id", "unit", "place", _words(F.col("body")).alias("words"))
-             .where((size >= min(a for a, _ in bounds)) & (size <= max(b for _, b in bounds)))
+    known = [(i, name, template_bigrams(text)) for i, (name, text) in enumerate(templates)]
+    known = [(i, name, grams, *size_bounds(len(grams), threshold)) for i, name, grams in known if grams]
+    if not known:
+        raise ValueError("a template of two words or more is needed")
+    pairs = {mark for _, _, grams, *_ in known for mark in marks(grams, threshold)}
+    words = {max(pair.split(), key=len) for pair in pairs}
+    likely = docs.select("doc_id", "text").where(_holds_one(F.lower("text"), words)).where(_holds_one(_spaced(F.col("text")), pairs))
+    least = min(low for *_, low, _ in known)
+    sized = (units(likely, sentences_of(templates)).withColumn("words", F.split(_spaced(F.col("body")), " "))
+             .where(F.size("words") > least)
              .withColumn("grams", F.array_distinct(F.zip_with(
                  F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1),
                  lambda a, b: F.concat_ws(" ", a, b)))))
     scored = F.array(*[
-        F.when(size.between(low, high), F.struct(
+        F.when(F.size("grams").between(low, high), F.struct(
             F.lit(name).alias("license"), F.lit(i).alias("template"),
             (F.lit(2.0) * F.size(F.array_intersect("grams", F.array(*map(F.lit, grams))))
              / (F.size("grams") + len(grams))).alias("dice")))
-        for i, ((name, grams), (low, high)) in enumerate(zip(known, bounds))])
-    return (sized.select("doc_id", "unit", "place", F.explode(F.filter(scored, lambda s: s["dice"] >= threshold)).alias("s"))
-            .select("doc_id", "unit", "place", "s.license", "s.template", "s.dice"))
+        for i, name, grams, low, high in known])
+    place = ["doc_id", "unit", "place", "first", "length"]
+    return (sized.select(*place, F.explode(F.filter(scored, lambda s: s["dice"] >= threshold)).alias("s"))
+            .select(*place, "s.license", "s.template", "s.dice"))
 
 
 def scan(docs: DataFrame, **options) -> DataFrame:
-    """Per document and licence: doc_id, license, n_units (distinct units), dice (the best)."""
-    unit = F.struct("unit", "place")
-    return (matches(docs, **options).groupBy("doc_id", "license", unit.alias("u")).agg(F.max("dice").alias("dice"))
-            .groupBy("doc_id", "license").agg(F.count(F.lit(1)).alias("n_units"), F.max("dice").alias("dice")))
+    """Per document and licence: doc_id, license, n_units (distinct units), dice (the best).
+
+    A unit counts for its most similar template, of equals for the first. Rows that repeat an id are one
+    document, whose units at one place count once; so are the rows of a null id.
+    """
+    best = F.max(F.struct("dice", (-F.col("template")).alias("later"), "license")).alias("best")
+    return (matches(docs, **options).groupBy("doc_id", "unit", "place", "first", "length").agg(best)
+            .groupBy("doc_id", "best.license").agg(F.count(F.lit(1)).alias("n_units"), F.max("best.dice").alias("dice")))
 
 
 def scan_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> str:
-    """The same scan in SQL."""
+    """The same scan in SQL, every unit against every template without bounds."""
     rows = []
     for i, (name, text) in enumerate(templates):
-        grams = template_bigrams(text)
-        low, high = size_bounds(len(grams), threshold)
-        quoted = ", ".join("'" + g.replace("'", "''") + "'" for g in grams)
-        rows.append(f"('{name}', {i}, [{quoted}], {low}, {high})")
+        quoted = ", ".join("'" + g.replace("'", "''") + "'" for g in template_bigrams(text))
+        rows.append(f"('{name}', {i}, [{quoted}])")
     return rf"""
-WITH templates(license, template, tgrams, low, high) AS (VALUES {', '.join(rows)}),
+WITH templates(license, template, tgrams) AS (VALUES {', '.join(rows)}),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body,
+    unnest(range(len(string_split(text, chr(10))))) AS place FROM documents),
+ended AS (SELECT doc_id, place, string_split(regexp_replace(body, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)) AS s FROM lines),
 pieces AS (
-  SELECT doc_id, 'line' AS unit, unnest(string_split(text, chr(10))) AS body,
-    unnest(range(len(string_split(text, chr(10))))) AS place FROM documents
-  UNION ALL SELECT * FROM (
-    SELECT doc_id, 'paragraph' AS unit, unnest(string_split_regex(text, '\n[ \t\r]*\n')) AS body,
-      unnest(range(len(string_split_regex(text, '\n[ \t\r]*\n')))) AS place FROM documents) WHERE contains(body, chr(10))),
+  SELECT doc_id, 'line' AS unit, place, 0 AS first, 0 AS length, body FROM lines
+  UNION ALL SELECT doc_id, 'paragraph', place, 0, 0, body FROM (
+    SELECT doc_id, unnest(string_split_regex(text, '\n[ \t\r]*\n')) AS body,
+      unnest(range(len(string_split_regex(text, '\n[ \t\r]*\n')))) AS place FROM documents) WHERE contains(body, chr(10))
+  UNION ALL SELECT doc_id, 'sentences', place, i, k, array_to_string(s[i + 1:i + k], ' ')
+    FROM ended, range(1, {sentences_of(templates) + 1}) AS a(k), range(0, len(s) - k + 1) AS b(i) WHERE k < len(s)),
 words AS (
-  SELECT doc_id, unit, place, string_split(trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w
-  FROM pieces),
+  SELECT doc_id, unit, place, first, length,
+    string_split(trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM pieces),
 grams AS (
-  SELECT doc_id, unit, place, len(w) - 1 AS n,
+  SELECT doc_id, unit, place, first, length,
     list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
   FROM words WHERE len(w) >= 2),
 best AS (
-  SELECT doc_id, unit, place, license, max(CAST(2 AS DOUBLE) * len(list_intersect(g, tgrams)) / (len(g) + len(tgrams))) AS dice
-  FROM grams JOIN templates ON n BETWEEN low AND high GROUP BY ALL)
-SELECT doc_id, license, count(*) AS n_units, max(dice) AS dice FROM best WHERE dice >= {threshold} GROUP BY ALL"""
+  SELECT doc_id, unit, place, first, length, license, template,
+    CAST(2 AS DOUBLE) * len(list_intersect(g, tgrams)) / (len(g) + len(tgrams)) AS dice
+  FROM (SELECT DISTINCT * FROM grams), templates WHERE len(tgrams) > 0),
+mine AS (SELECT * FROM best WHERE dice >= {threshold}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, unit, place, first, length ORDER BY dice DESC, template) = 1)
+SELECT doc_id, license, count(*) AS n_units, max(dice) AS dice FROM mine GROUP BY ALL"""

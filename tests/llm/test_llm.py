@@ -385,12 +385,41 @@ def test_license_scan(spark, odd, empty):
             (5, "Permission is granted to nobody."), (6, "Released under the MIT License.\nReleased under the MIT License.")]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("clash"))
     got = {(r.doc_id, r.license): (r.n_units, round(r.dice, 3)) for r in license_dice.scan(table).collect()}
-    assert got == {(1, "MIT"): (1, 1.0), (2, "MIT"): (1, 1.0), (4, "GPL-3.0"): (1, 1.0), (6, "MIT"): (2, 1.0)}
+    assert got == {(1, "MIT"): (1, 1.0), (2, "MIT"): (1, 1.0), (4, "GPL-3.0"): (1, 1.0), (6, "MIT"): (3, 1.0)}  # two lines and their paragraph
     assert license_dice.scan(odd).count() == 0 and license_dice.scan(empty).count() == 0
     plan = license_dice.scan(table)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_license_in_a_longer_line(spark):
+    notice = "Released under the MIT License."
+    long = " ".join(f"w{i}" for i in range(3000))
+    rows = [(1, f"{notice} {notice}"), (2, f"This file is free. {notice} See the web site for more of it."), (3, f"{long}. {notice} {long}"),
+            (4, "Some words. This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+                "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/. More words."),
+            (5, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+            (None, notice), (None, notice), (7, notice), (7, f"{notice}\nother words of the second row")]
+    got = {(r.doc_id, r.license): (r.n_units, round(r.dice, 3)) for r in license_dice.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # both sentences and the line; a run of other sentences with the notice is too long to resemble it
+    assert got.pop((1, "MIT")) == (3, 1.0)
+    assert got.pop((4, "MPL-2.0"))[1] == 1.0
+    assert got == {(2, "MIT"): (1, 1.0), (3, "MIT"): (1, 1.0), (5, "LGPL-3.0"): (1, 1.0), (None, "MIT"): (1, 1.0), (7, "MIT"): (1, 1.0)}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95])
+def test_license_bounds_lose_no_unit(threshold):
+    draw = random.Random(3)
+    for _, text in license_dice.TEMPLATES:
+        grams = license_dice.template_bigrams(text)
+        low, high = license_dice.size_bounds(len(grams), threshold)
+        chosen = set(license_dice.marks(grams, threshold))
+        for _ in range(300):
+            unit = set(draw.sample(grams, draw.randint(0, len(grams)))) | {f"x {i}" for i in range(draw.randint(0, len(grams)))}
+            if unit and 2 * len(unit & set(grams)) >= threshold * (len(unit) + len(grams)):
+                assert low <= len(unit) <= high and unit & chosen
+
+
 # --- 9: Jaccard join ---
 
 def brute_components(texts, p=90, q=100, n=3):
