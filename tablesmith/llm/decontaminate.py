@@ -23,6 +23,7 @@ from tablesmith.llm.words import GOLDEN, mix, plain_words
 SEED_WORDS = 4
 WINDOW = 4
 RARE = 10
+PASSAGE = 13  # words in a row that are a copy whatever share of the item they are
 SLICE_BYTES = 16_000_000  # of benchmark text that is sent to the executors at once
 MATCH, MISMATCH, GAP = 1, -1, -1
 
@@ -150,7 +151,7 @@ def rare_seeds(frequency: DataFrame, items: Items) -> list[set[int]]:
     return out
 
 
-def _aligned(windows: DataFrame, shared, least: float) -> DataFrame:
+def _aligned(windows: DataFrame, shared, least: float, passage: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:
@@ -159,7 +160,7 @@ def _aligned(windows: DataFrame, shared, least: float) -> DataFrame:
                 rare = items.chosen[item].intersection(seeds)
                 if rare:
                     score, a, b, c, d = align(items.words[item], np.array(words, np.int64))
-                    if score >= least * MATCH * len(items.words[item]):
+                    if score >= MATCH * min(least * len(items.words[item]), passage):
                         out.append((row, items.keys[item], score / (MATCH * len(items.words[item])), a, b + 1,
                                     start + c, start + d + 1, len(rare)))
             rows, *columns = zip(*out) if out else [()] * 8
@@ -173,11 +174,13 @@ def _aligned(windows: DataFrame, shared, least: float) -> DataFrame:
                                    "doc_start int, doc_end int, n_seeds int")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: float = 0.5) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: float = 0.5,
+             passage: int = PASSAGE) -> DataFrame:
     """The best alignment of each document with each test item that it holds.
 
-    Columns: doc_id, item_id, score (alignment score over that of the whole item, 0 to 1, at
-    least ``least``), item_start, item_end, doc_start, doc_end (word positions, end exclusive),
+    An alignment counts if it scores at least ``least`` of the whole item, or as much as ``passage``
+    words in a row, so parts of long items are found too. Columns: doc_id, item_id, score
+    (alignment score over that of the whole item, 0 to 1), item_start, item_end, doc_start, doc_end (word positions, end exclusive),
     n_seeds (rare seeds in that stretch). Items are numbered by item_id, equal ids are separate
     items of one id; items of fewer than ``n`` words, null texts and null item ids match nothing.
     The benchmark goes to the executors in slices of ``SLICE_BYTES`` of text, one pass each.
@@ -195,7 +198,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least:
                      .groupBy("seed").agg(F.count(F.lit(1)).alias("n")))
         if items.keys:
             items.chosen = rare_seeds(frequency, items)
-        part = _aligned(windows, spark.sparkContext.broadcast(items), least)
+        part = _aligned(windows, spark.sparkContext.broadcast(items), least, passage)
         found = part if found is None else found.union(part)
     best = F.struct("score", F.col("n_seeds"), (-F.col("doc_start")).alias("_from"), "item_start", "item_end", "doc_start", "doc_end")
     return (found.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))

@@ -228,6 +228,37 @@ def test_decontamination_finds_edited_copies(spark, odd, empty):
     assert decontaminate.clean(odd, bench).count() == len(ODD)
 
 
+def test_parts_of_long_items(spark):
+    draw = random.Random(4)
+    say = lambda n: [f"w{draw.randrange(3000)}" for _ in range(n)]
+    item = say(300)
+    edited = item[40:80]
+    edited[17] = "changed"
+    rows = [(1, say(90) + item[100:200] + say(90)), (2, say(50) + item[:13] + say(50)), (3, say(50) + item[20:32] + say(50)), (4, edited), (5, item)]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.overlaps(docs, bench).collect()}
+    assert set(got) == {1, 2, 4, 5} and (got[1].item_start, got[1].item_end, got[1].doc_start, got[1].doc_end) == (100, 200, 90, 190)
+    assert {r.doc_id for r in decontaminate.overlaps(docs, bench, passage=1000).collect()} == {5}
+    assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [3]
+
+
+def test_decontamination_query_equals_alignment_of_all_pairs(spark, sf):
+    items = [(r.item_id, words.plain_words(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    want = {}
+    for row in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        said = words.plain_words(row.text or "")
+        for key, item in items:
+            least, own = min(0.5 * len(item), decontaminate.PASSAGE), set(item)
+            if sum(w in own for w in said) >= least:
+                number = {w: i for i, w in enumerate(own)}
+                score = decontaminate.align(np.array([number.get(w, -1) for w in said]), np.array([number[w] for w in item]))[0]
+                if score >= least:
+                    want[row.doc_id, key] = round(score / len(item), 9)
+    got = {(r.doc_id, r.item_id): round(r.score, 9) for r in queries.op4_decontamination(spark, sf).collect()}
+    assert got == want and want
+
+
 def test_benchmark_in_slices(spark, sf, monkeypatch):
     whole = {tuple(r) for r in queries.op4_decontamination(spark, sf).collect()}
     monkeypatch.setattr(decontaminate, "SLICE_BYTES", 4000)
