@@ -5,7 +5,7 @@ each language, the counts of the bytes that followed. Escape method C: a context
 with q different successors gives c / (N + q) to a successor seen c times and q / (N + q) to
 leaving it for the next shorter context. Statistics are frozen after training, so the cost in
 bits of a byte in a node is a constant, and the code length of a text under every language is
-a sum of table look-ups. The language with the shortest code wins.
+a sum over its distinct runs of four bytes of count times cost, found in sorted tables. The language with the shortest code wins.
 """
 
 from __future__ import annotations
@@ -22,10 +22,8 @@ from tablesmith.llm.storage import small_batches
 
 UNKNOWN = "und"
 ORDER = 3
-ALPHABET = 128
 PAD = b"\n" * ORDER
 SLICE = 1 << 19
-CONTEXTS = 512
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -35,7 +33,6 @@ class Statistics:
 
     langs: list[str]
     rows: np.ndarray  # columns: language, order, gram of order + 1 bytes, count
-    max_contexts: int
 
 
 def in_training(key: Column) -> Column:
@@ -76,7 +73,7 @@ def _count_grams(langs: list[str]):
     return count
 
 
-def train(docs: DataFrame, max_documents: int = 1500, max_contexts: int = 16384) -> Statistics:
+def train(docs: DataFrame, max_documents: int = 1500) -> Statistics:
     """Statistics from (lang, text) of the training rows.
 
     Per language about ``max_documents`` whole documents are used, drawn by a hash of the id
@@ -87,100 +84,88 @@ def train(docs: DataFrame, max_documents: int = 1500, max_contexts: int = 16384)
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(sizes)
     if not langs:
-        return Statistics([], np.zeros((0, 4), np.int64), max_contexts)
+        return Statistics([], np.zeros((0, 4), np.int64))
     rates = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, max_documents / n)))])
     sample = rows.where(keep_rate(F.col("doc_id"), F.element_at(rates, F.col("lang")), 2)).select("lang", "text")
     grams = (small_batches(sample).mapInArrow(_count_grams(langs), "l int, o int, gram long, c long")
              .groupBy("l", "o", "gram").agg(F.sum("c").alias("c")).toArrow())
     columns = [grams.column(n).to_numpy() for n in ("l", "o", "gram", "c")]
-    return Statistics(langs, np.stack(columns, 1).astype(np.int64), max_contexts)
+    return Statistics(langs, np.stack(columns, 1).astype(np.int64))
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``wanted`` are among the sorted ``keys``, and where these are."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    there = keys[at] == wanted
+    return there, at[there]
 
 
 class Coder:
-    """Cost tables of the frozen tree; built once per Python worker.
+    """Cost tables of the frozen tree, with all contexts of the sample and all 256 bytes.
 
-    ``state`` maps the codes of the last three bytes to the longest context in the tree, and
-    ``bits[state, byte]`` holds the cost of that byte for every language. The ``ALPHABET - 1``
-    most frequent bytes have a code of their own, the rest share one. All contexts of order 0
-    and 1 and the ``max_contexts`` most frequent of order 2 and 3 are kept.
+    For each order the sorted grams seen in any language with the cost of their last byte, and
+    the sorted contexts with the cost of leaving them, one column per language. A language that
+    lacks a context goes on to the shorter one for nothing; below order 0 a byte costs 8 bits.
     """
 
     def __init__(self, s: Statistics):
-        n_langs, rows = len(s.langs), s.rows
-        first = rows[rows[:, 1] == 0]
-        by_byte = np.bincount(first[:, 2], first[:, 3], 256)
-        common = np.argsort(-by_byte, kind="stable")[:ALPHABET - 1]
-        common = common[by_byte[common] > 0]
-        self.size = size = len(common) + 1
-        self.code = np.full(256, size - 1, np.int32)
-        self.code[common] = np.arange(size - 1)
-
-        def coded(order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-            part = rows[rows[:, 1] == order]
-            context = np.zeros(len(part), np.int64)
-            for back in range(order, 0, -1):
-                context = context * size + self.code[(part[:, 2] >> (8 * back)) & 255]
-            return part[:, 0], context, self.code[part[:, 2] & 255], part[:, 3]
-
-        totals = []
-        for order in (2, 3):
-            _, context, _, count = coded(order)
-            ids, inverse = np.unique(context, return_inverse=True)
-            totals.append((np.bincount(inverse, count, len(ids)), ids))
-        merged = np.sort(np.concatenate([t for t, _ in totals]))[::-1]
-        floor = merged[s.max_contexts] if len(merged) > s.max_contexts else 0
-        kept = [np.zeros(1, np.int64), np.arange(size)] + [ids[t > floor] for t, ids in totals]
-
-        base = np.full((1, size, n_langs), 8.0, np.float32)
-        bits = np.zeros((sum(map(len, kept)), size, n_langs), np.float32)
-        start, state = 0, None
+        self.n_langs = len(s.langs)
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for order in range(ORDER + 1):
-            lang, context, byte, count = coded(order)
-            ids = kept[order]
-            at = np.searchsorted(ids, context)
-            ok = ids[np.minimum(at, max(len(ids) - 1, 0))] == context if len(ids) else np.zeros(len(context), bool)
-            table = bits[start:start + len(ids)]  # a view
-            np.add.at(table, (at[ok], byte[ok], lang[ok]), count[ok].astype(np.float32))
-            for low in range(0, len(ids), CONTEXTS):  # counts become costs a few contexts at a time
-                seen, mine = table[low:low + CONTEXTS], ids[low:low + CONTEXTS]
-                below = base if order == 0 else bits[state[mine % size ** (order - 1)]]
-                total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
-                whole = np.maximum(total + kinds, 1)
-                with np.errstate(divide="ignore"):
-                    known = -np.log2(seen / whole)
-                    escape = -np.log2(np.maximum(kinds, 1) / whole)
-                seen[:] = np.where(total == 0, below, np.where(seen > 0, known, escape + below))
-            if order == 0:
-                state = np.zeros(1, np.int32)
-            else:
-                longer = np.tile(state, size)  # the oldest byte is the highest digit
-                longer[ids] = start + np.arange(len(ids), dtype=np.int32)
-                state = longer
-            start += len(ids)
-        self.state = state.astype(np.int32)
-        self.bits = bits.reshape(-1, n_langs)
+            lang, _, gram, count = s.rows[s.rows[:, 1] == order].T
+            grams, at = np.unique(gram.astype(np.uint32), return_inverse=True)
+            seen = np.zeros((len(grams), self.n_langs), np.float32)
+            seen[at, lang] = count
+            contexts, start, size = np.unique(grams >> np.uint32(8), return_index=True, return_counts=True)
+            total = np.add.reduceat(seen, start) if len(start) else seen
+            kinds = np.add.reduceat(seen > 0, start, dtype=np.float32) if len(start) else seen
+            whole = np.maximum(total + kinds, 1)
+            escapes = -np.log2(np.maximum(kinds, 1) / whole)  # 0 where a language lacks the context
+            costs = self.costs(grams, order - 1)
+            costs += np.repeat(escapes, size, axis=0)
+            known = seen > 0
+            costs[known] = -np.log2(seen[known] / np.repeat(whole, size, axis=0)[known])
+            self.tables.append((grams, costs, contexts, escapes))
+
+    def costs(self, grams: np.ndarray, order: int) -> np.ndarray:
+        """Bits of the last byte of each gram after the ``order`` bytes before it, under every language."""
+        if order < 0:
+            return np.full((len(grams), self.n_langs), 8.0, np.float32)
+        known, bits, contexts, escapes = self.tables[order]
+        grams = grams & np.uint32((1 << (8 * order + 8)) - 1)
+        there, at = _find(known, grams)
+        out = np.empty((len(grams), self.n_langs), np.float32)
+        out[there] = bits[at]
+        if len(at) < len(grams):
+            rest = grams[~there]
+            below = self.costs(rest, order - 1)
+            left, at = _find(contexts, rest >> np.uint32(8))
+            below[left] += escapes[at]
+            out[~there] = below
+        return out
 
     def lengths(self, text: str) -> np.ndarray:
         """Exact code length in bits of the whole text under every language."""
-        codes = self.code[np.frombuffer(PAD + text.encode("utf-8", "surrogatepass"), np.uint8)]
-        total = np.zeros(self.bits.shape[1])
-        for at in range(0, len(codes) - ORDER, SLICE):
-            c = codes[at:at + SLICE + ORDER]
-            context = (c[:-3] * self.size + c[1:-2]) * self.size + c[2:-1]
-            total += np.take(self.bits, self.state[context] * self.size + c[3:], axis=0).sum(0, dtype=np.float64)
+        data = np.frombuffer(PAD + text.encode("utf-8", "surrogatepass"), np.uint8)
+        total = np.zeros(self.n_langs)
+        for at in range(0, len(data) - ORDER, SLICE):
+            grams, count = np.unique(_packed(data[at:at + SLICE + ORDER], ORDER).astype(np.uint32), return_counts=True)
+            total += count @ self.costs(grams, ORDER).astype(np.float64)
         return total
 
 
-_CODERS: dict[int, Coder] = {}
+_CODERS: list[tuple[Statistics, Coder]] = []  # that of the running task; it holds the statistics it was made from
 
 
 def _coder(shared) -> Coder | None:
-    if not shared.value.langs:
+    statistics = shared.value
+    if not statistics.langs:
         return None
-    if id(shared.value) not in _CODERS:
-        _CODERS.clear()
-        _CODERS[id(shared.value)] = Coder(shared.value)
-    return _CODERS[id(shared.value)]
+    if not _CODERS or _CODERS[0][0] is not statistics:
+        _CODERS[:] = [(statistics, Coder(statistics))]
+    return _CODERS[0][1]
 
 
 def _verdicts(coder: Coder | None, langs: list[str], texts: pa.Array) -> tuple[list[str], list[float]]:

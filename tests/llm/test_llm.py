@@ -1,8 +1,11 @@
 """The training-data operators: brute force, round trips, held-out accuracy, odd rows."""
 
 import base64
+import collections
+import functools
 import hashlib
 import io
+import math
 import random
 import zlib
 
@@ -132,23 +135,99 @@ def test_language_held_out_accuracy(spark, sf):
     assert held > 0.97 and got.where("score < 0 OR score > 1").count() == 0
 
 
-def test_code_lengths_are_a_distribution():
-    """In every context the costs of all successors of a language sum to probability 1 or less."""
-    text = b"\n\n\nabracadabra abracadabra\n"
+def gram_rows(samples):
     rows = []
-    for lang, data in enumerate((text, text[::-1] + b"zz")):
+    for lang, data in enumerate(samples):
+        for order in range(4):
+            grams = ppm_language._packed(np.frombuffer(ppm_language.PAD + data, np.uint8), order)
+            rows += [(lang, order, int(g), int(c)) for g, c in zip(*np.unique(grams, return_counts=True))]
+    return np.array(rows, np.int64).reshape(-1, 4)
+
+
+def plain_ppm(sample, data):
+    """Code length of ``data`` by counts kept in a dict of contexts, escape method C, byte by byte."""
+    tree, sample, data, bits = {}, ppm_language.PAD + sample, ppm_language.PAD + data, 0.0
+    for i in range(3, len(sample)):
         for order in range(4):
-            grams = ppm_language._packed(np.frombuffer(data, np.uint8), order)
-            for g, c in zip(*np.unique(grams, return_counts=True)):
-                rows.append((lang, order, g, c))
-    coder = ppm_language.Coder(ppm_language.Statistics(["a", "b"], np.array(rows, np.int64), 1000))
-    mass = np.exp2(-coder.bits.reshape(-1, coder.size, 2).astype(float)).sum(1)
-    assert mass.max() <= 1.0 + 1e-4
+            tree.setdefault(sample[i - order:i], collections.Counter())[sample[i]] += 1
+    for i in range(3, len(data)):
+        for order in (3, 2, 1, 0):
+            node = tree.get(data[i - order:i])
+            if node is None:
+                continue
+            whole = sum(node.values()) + len(node)
+            if data[i] in node:
+                bits -= math.log2(node[data[i]] / whole)
+                break
+            bits -= math.log2(len(node) / whole)
+        else:
+            bits += 8
+    return bits
+
+
+def test_code_lengths_are_a_distribution():
+    """In every context the costs of all 256 bytes sum to probability 1 or less, in order 0 with all bytes seen as well."""
+    samples = (b"abracadabra abracadabra\n", b"zzarbadacarba", bytes(range(256)) * 3)
+    coder = ppm_language.Coder(ppm_language.Statistics(["a", "b", "c"], gram_rows(samples)))
+    for context in (b"abr", b"\n\n\n", b"xyz", b"zab", bytes([7, 8, 9]), b"qab"):
+        grams = (int.from_bytes(context) << 8) + np.arange(256)
+        mass = np.exp2(-coder.costs(grams.astype(np.uint32), 3).astype(float)).sum(0)
+        assert mass.shape == (3,) and mass.max() <= 1.0 + 1e-4
     assert coder.lengths("abracadabra")[0] < coder.lengths("abracadabra")[1]
     whole = coder.lengths("abra" * 200_000)
     assert abs(whole[0] / (coder.lengths("abra" * 2000)[0] * 100) - 1) < 0.01
 
 
+def test_code_lengths_equal_plain_ppm(monkeypatch):
+    draw = random.Random(8)
+    letters = [chr(draw.randrange(1, 0xD000)) for _ in range(300)] + list("etaoin shrdlu\n\x00\x7f")
+    say = lambda n, some: "".join(draw.choice(some) for _ in range(n))
+    samples = [say(4000, letters[k * 60:k * 60 + 90]).encode() for k in range(4)] + [b"", bytes(range(256)) * 4]
+    coder = ppm_language.Coder(ppm_language.Statistics(list("abcdef"), gram_rows(samples)))
+    monkeypatch.setattr(ppm_language, "SLICE", 700)
+    for text in ["", "e", "\udc80x", say(3000, letters), say(2500, letters[:90]), samples[1].decode()[:1500]]:
+        want = [plain_ppm(sample, text.encode("utf-8", "surrogatepass")) for sample in samples]
+        assert np.allclose(coder.lengths(text), want, rtol=1e-6, atol=1e-4)
+
+
+def test_language_query_equals_plain_ppm(spark, sf):
+    """All rows of the query against counts and code lengths in plain Python, where the sample is all training rows."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text").collect()
+    samples = collections.defaultdict(list)
+    for r in docs:
+        if zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang is not None and r.text is not None:
+            samples[r.lang].append(r.text.encode())
+    tree = {}
+    for lang, texts in samples.items():
+        for data in (ppm_language.PAD + t for t in texts):
+            for i in range(3, len(data)):
+                for order in range(4):
+                    tree.setdefault((lang, data[i - order:i]), collections.Counter())[data[i]] += 1
+    size = {key: (sum(node.values()), len(node)) for key, node in tree.items()}
+
+    @functools.cache
+    def cost(lang, context, byte):
+        if (lang, context) not in tree:
+            return cost(lang, context[1:], byte) if context else 8.0
+        total, kinds = size[lang, context]
+        seen = tree[lang, context][byte]
+        if seen:
+            return -math.log2(seen / (total + kinds))
+        return -math.log2(kinds / (total + kinds)) + (cost(lang, context[1:], byte) if context else 8.0)
+
+    got = {r.doc_id: r for r in queries.op2_language_id(spark, sf).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        data = ppm_language.PAD + r.text.encode()
+        bits = {lang: sum(cost(lang, data[i - 3:i], data[i]) for i in range(3, len(data))) for lang in sorted(samples)}
+        best = min(bits, key=bits.get)
+        assert got[r.doc_id].lang_pred == best
+        assert abs(got[r.doc_id].score - 1 / sum(2 ** max(bits[best] - b, -1000) for b in bits.values())) < 1e-3
+
+
 def test_language_of_odd_rows(odd, empty):
     rows = ppm_language.identify(odd).collect()
     assert len(rows) == len(ODD)
