@@ -71,11 +71,11 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
 def marks(grams: list[str], threshold: float) -> list[str]:
     """Bigrams of a template of which every unit that reaches the threshold holds at least one.
 
-    Such a unit holds as many of the template's bigrams as the lower size bound. Those with the longest words
-    are chosen, as they are likely rare; that is effort only.
+    Such a unit holds as many of the template's bigrams as the lower size bound. Those with the longest words,
+    of equals those with a digit, are chosen, as they are likely rare; that is effort only.
     """
     low, _ = size_bounds(len(grams), threshold)
-    return sorted(grams, key=lambda g: (-max(map(len, g.split())), g))[:len(grams) - low + 1]
+    return sorted(grams, key=lambda g: (-max(map(len, g.split())), not any(map(str.isdigit, g)), g))[:len(grams) - low + 1]
 
 
 def sentences_of(templates: list[tuple[str, str]]) -> int:
@@ -87,27 +87,41 @@ def _spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), SEPARATORS, " "))
 
 
-def _holds_one(text: Column, parts: set[str]) -> Column:
-    # as the argument of a function the text is computed once, not once per part
-    return F.exists(F.array(text), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(part)) for part in sorted(parts)]))
+def _any(text: Column, parts: set[str]) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(part)) for part in sorted(parts)])
+
+
+def likely(docs: DataFrame, pairs: set[str]) -> DataFrame:
+    """doc_id, text of the rows whose normalised text holds one of the bigrams.
+
+    Both words of one in the text as it is come first; only then is it normalised.
+    """
+    others: dict[str, set[str]] = {}
+    for pair in pairs:
+        short, long = sorted(pair.split(), key=len)
+        others.setdefault(long, set()).add(short)
+    # as the argument of a function a text is made once, not once per word
+    words = F.exists(F.array(F.lower("text")), lambda t: reduce(
+        Column.__or__, [F.contains(t, F.lit(long)) & _any(t, others[long]) for long in sorted(others)]))
+    return docs.select("doc_id", "text").where(words).where(F.exists(F.array(_spaced(F.col("text"))), lambda t: _any(t, pairs)))
 
 
 def units(docs: DataFrame, longest: int) -> DataFrame:
-    """doc_id, unit, place, first, length, body: lines, paragraphs and runs of up to ``longest`` sentences of a line."""
-    zero = F.lit(0)
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "body"))
-    blocks = (docs.select("doc_id", F.posexplode(F.split("text", PARAGRAPHS)).alias("place", "body"))
-              .where(F.contains("body", F.lit("\n"))))
-    ended = (lines.select("doc_id", "place", F.split(F.regexp_replace("body", SENTENCE_ENDS, "$1\n"), "\n").alias("s"))
-             .where(F.size("s") > 1))
-    starts = (ended.select("doc_id", "place", "s", F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("length"))
-              .where(F.col("length") < F.size("s"))
-              .select("doc_id", "place", "length", "s", F.explode(F.sequence(zero, F.size("s") - F.col("length"))).alias("first")))
-    runs = starts.select("doc_id", F.lit("sentences").alias("unit"), "place", "first", "length",
-                         F.array_join(F.slice("s", F.col("first") + 1, F.col("length")), " ").alias("body"))
-    whole = [rows.select("doc_id", F.lit(name).alias("unit"), "place", zero.alias("first"), zero.alias("length"), "body")
-             for name, rows in (("line", lines), ("paragraph", blocks))]
-    return whole[0].union(whole[1]).union(runs)
+    """doc_id, unit, place, first, length, body: lines, paragraphs and runs of up to ``longest`` sentences of a line.
+
+    The three kinds come from one scan.
+    """
+    runs, zero = F.col("unit") == "sentences", F.array(F.lit(0))
+    kinds = docs.select("doc_id", "text", F.explode(F.array(*map(F.lit, ("line", "paragraph", "sentences")))).alias("unit"))
+    parts = kinds.select("doc_id", "unit", F.posexplode(
+        F.when(F.col("unit") == "paragraph", F.split("text", PARAGRAPHS)).otherwise(F.split("text", "\n"))).alias("place", "body"))
+    split = (parts.where((F.col("unit") != "paragraph") | F.contains("body", F.lit("\n")))
+             .withColumn("s", F.when(runs, F.split(F.regexp_replace("body", SENTENCE_ENDS, "$1\n"), "\n"))
+                         .otherwise(F.array("body"))))
+    sized = split.withColumn("length", F.explode(F.when(runs, F.sequence(F.lit(1), F.lit(longest))).otherwise(zero))).where("length < size(s)")
+    return (sized.withColumn("first", F.explode(F.when(runs, F.sequence(F.lit(0), F.size("s") - F.col("length"))).otherwise(zero)))
+            .select("doc_id", "unit", "place", "first", "length",
+                    F.when(runs, F.array_join(F.slice("s", F.col("first") + 1, F.col("length")), " ")).otherwise(F.col("body")).alias("body")))
 
 
 def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
@@ -122,10 +136,8 @@ def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thres
     if not known:
         raise ValueError("a template of two words or more is needed")
     pairs = {mark for _, _, grams, *_ in known for mark in marks(grams, threshold)}
-    words = {max(pair.split(), key=len) for pair in pairs}
-    likely = docs.select("doc_id", "text").where(_holds_one(F.lower("text"), words)).where(_holds_one(_spaced(F.col("text")), pairs))
     least = min(low for *_, low, _ in known)
-    sized = (units(likely, sentences_of(templates)).withColumn("words", F.split(_spaced(F.col("body")), " "))
+    sized = (units(likely(docs, pairs), sentences_of(templates)).withColumn("words", F.split(_spaced(F.col("body")), " "))
              .where(F.size("words") > least)
              .withColumn("grams", F.array_distinct(F.zip_with(
                  F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1),
