@@ -127,15 +127,15 @@ class Codec:
         return (character[starts] - 1).astype(np.int32), character[ends - 1].astype(np.int32)
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: list[tuple[dict, Codec]] = []  # that of the running task; it holds the specification it was made from
 
 
 def codec_of(shared) -> Codec:
     """The task's codec for a broadcast specification."""
-    if id(shared.value) not in _CODECS:
-        _CODECS.clear()
-        _CODECS[id(shared.value)] = Codec(shared.value)
-    return _CODECS[id(shared.value)]
+    spec = shared.value
+    if not _CODECS or _CODECS[0][0] is not spec:
+        _CODECS[:] = [(spec, Codec(spec))]
+    return _CODECS[0][1]
 
 
 def specification(path: str, pattern: str) -> dict:

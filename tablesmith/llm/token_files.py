@@ -176,7 +176,7 @@ class WordEncoder:
         return b"".join([known[w] for w in words])
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
+_ENCODERS: list[tuple[str, WordEncoder]] = []  # that of the running task; it holds the vocabulary it was made from
 
 
 def _open(folder: str):
@@ -199,10 +199,10 @@ def write_files(docs: DataFrame, tokenizer_json: str, end_id: int, folder: str |
             .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shared.value) not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[id(shared.value)] = WordEncoder(shared.value)
-        encoder, writer = _ENCODERS[id(shared.value)], None
+        vocabulary = shared.value
+        if not _ENCODERS or _ENCODERS[0][0] is not vocabulary:
+            _ENCODERS[:] = [(vocabulary, WordEncoder(vocabulary))]
+        encoder, writer = _ENCODERS[0][1], None
         part = TaskContext.get().partitionId()
         files, base = _open(folder)
         scratch, final = f"{base}/.{part:07d}-{uuid.uuid4().hex}", f"{base}/{part:07d}.ids.zst"
