@@ -16,7 +16,10 @@
 4. In a large cluster a set that shares some keys with another is first verified against the one it
    shares most with, which makes one class of most copies. Then points, not sets, are dealt into blocks by size, the tree's inner
    nodes; pairs of blocks whose boxes cannot hold a link are dropped, and the others are joined as
-   above. Only sets with a surviving partner of another class are sent to a pair of blocks and verified.
+   above. Only sets with a surviving partner of another class are sent on. Counts in few groups rule out
+   little between sets of thousands of tokens (the larger the counts, the nearer the sum of the smaller ones comes to
+   the size), so these are first sent as fine points, with groups in proportion to their size, and
+   whole only if a partner survives that too; then they are verified.
 5. Links of all tasks give the connected components.
 
 Nothing is capped: large clusters only mean more pairs of blocks, and no task sends out more links than
@@ -44,6 +47,7 @@ KEY_BITS = 27
 STAR_KEYS = 4      # fewer shared keys hardly mean a copy; effort only
 GROUP_BITS = 7
 GROUPS = 1 << GROUP_BITS
+FINE_TOKENS = 8    # at most so many tokens a group of a fine point; effort only
 LEAF = 16
 BLOCK_TOKENS = 400_000
 BLOCK_ROWS = 1024
@@ -188,32 +192,78 @@ def clusters(met: DataFrame) -> DataFrame:
     return components(met.select(F.col("node").alias("a"), F.col("low").alias("b")))
 
 
-def count_vector(shingles: np.ndarray) -> np.ndarray:
-    """The point of a set: how many of its tokens fall into each group."""
-    return np.bincount((shingles >> np.uint64(64 - GROUP_BITS)).astype(np.int64), minlength=GROUPS)
+def count_vector(shingles: np.ndarray, bits: int = GROUP_BITS) -> np.ndarray:
+    """The point of a set: how many of its tokens fall into each group of equal upper bits."""
+    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def fine_bits(size: int) -> int:
+    return max(GROUP_BITS, (-(-size // FINE_TOKENS) - 1).bit_length())
+
+
+def fine_vector(shingles: np.ndarray) -> np.ndarray:
+    """The fine point of a set; sums of neighbouring groups give its coarser points."""
+    return count_vector(shingles, fine_bits(len(shingles)))
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """A fine point as bytes; four a group should one not hold every count."""
+    return counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes()
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if len(data) == 1 << fine_bits(size) else "<u4")
+
+
+class FinePoints:
+    """Fine points of a block and the sums of their neighbouring groups, made when first needed."""
+
+    def __init__(self, vectors: list[np.ndarray]):
+        self.vectors, self.levels = vectors, {}
+        self.bits = np.array([len(v).bit_length() - 1 for v in vectors])
+
+    def at(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each point in the matrix, points of 2 ** bits groups of those that have as many)."""
+        if bits not in self.levels:
+            has = self.bits >= bits
+            self.levels[bits] = np.cumsum(has) - 1, np.stack(
+                [v.reshape(1 << bits, -1).sum(1, dtype=np.int32) for v, own in zip(self.vectors, has) if own])
+        return self.levels[bits]
 
 
 class Tree:
     """Bulk-loaded R-tree over points of one block: leaves of neighbours in size and direction."""
 
-    def __init__(self, points: np.ndarray):
-        self.points, self.sizes = points, points.sum(1, dtype=np.int64)
+    def __init__(self, points: np.ndarray, fine: FinePoints | None = None):
+        self.points, self.sizes, self.fine = points, points.sum(1, dtype=np.int64), fine
         order = np.lexsort((*points[:, :4].T, self.sizes))
         self.leaves = [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
         self.high = np.stack([points[leaf].max(0) for leaf in self.leaves])
         self.low_size = np.array([self.sizes[leaf].min() for leaf in self.leaves])
 
     @classmethod
-    def of_sets(cls, sets: list[np.ndarray]) -> Tree:
-        return cls(np.stack([count_vector(s) for s in sets]).astype(np.int32))
+    def of_fine(cls, vectors: list[np.ndarray]) -> Tree:
+        fine = FinePoints(vectors)
+        return cls(fine.at(GROUP_BITS)[1], fine)
+
+
+def fine_partners(a: Tree, b: Tree, x: int, rest: np.ndarray, t: Threshold) -> np.ndarray:
+    """Rows of ``rest`` that row x of a may be linked with by the finest groups that both have."""
+    bits = np.minimum(a.fine.bits[x], b.fine.bits[rest])
+    keep = np.ones(len(rest), bool)
+    for level in np.unique(bits[bits > GROUP_BITS]).tolist():
+        (own, left), (row, right), mine = a.fine.at(level), b.fine.at(level), np.flatnonzero(bits == level)
+        both = np.minimum(left[own[x]], right[row[rest[mine]]]).sum(1)
+        keep[mine] = both >= t.needed(a.sizes[x], b.sizes[rest[mine]])
+    return rest[keep]
 
 
 def near_points(a: Tree, b: Tree, name_a: np.ndarray, name_b: np.ndarray, t: Threshold) -> Iterator[tuple[int, np.ndarray]]:
     """(row of a, rows of b of another name that it may be linked with).
 
     A pair of leaves is skipped if the summed minima of their upper corners cannot reach the
-    overlap that their smallest sets need; so is a pair of points by its own summed minima. Names
-    are read when a row's turn comes.
+    overlap that their smallest sets need; so is a pair of points by its own summed minima, then by those
+    of its fine points if the trees hold them. Names are read when a row's turn comes.
     """
     for i, leaf in enumerate(a.leaves):
         bound = np.minimum(a.high[i], b.high).sum(1)
@@ -225,6 +275,8 @@ def near_points(a: Tree, b: Tree, name_a: np.ndarray, name_b: np.ndarray, t: Thr
             rest = others[(name_b[others] != name_a[x]) & (np.minimum(a.sizes[x], b.sizes[others]) >= t.needed(a.sizes[x], b.sizes[others]))]
             if len(rest):
                 rest = rest[np.minimum(a.points[x], b.points[rest]).sum(1) >= t.needed(a.sizes[x], b.sizes[rest])]
+            if len(rest) and a.fine and b.fine:
+                rest = fine_partners(a, b, x, rest, t)
             if len(rest):
                 yield int(x), rest
 
@@ -238,8 +290,8 @@ def join_sets(a: list[np.ndarray], b: list[np.ndarray], name_a: np.ndarray, name
 
     Equal names are connected already; of one block, both names are the same array. The arrays are changed.
     """
-    links, tree = [], Tree.of_sets(a)
-    for x, rest in near_points(tree, tree if b is a else Tree.of_sets(b), name_a, name_b, t):
+    links, tree = [], Tree.of_fine([fine_vector(s) for s in a])
+    for x, rest in near_points(tree, tree if b is a else Tree.of_fine([fine_vector(s) for s in b]), name_a, name_b, t):
         for y in rest:
             if name_a[x] != name_b[y] and linked(a[x], b[y], t):
                 links.append((x, int(y)))
@@ -250,7 +302,7 @@ def join_sets(a: list[np.ndarray], b: list[np.ndarray], name_a: np.ndarray, name
 
 
 def candidate_sets(docs: DataFrame, one: DataFrame, n: int) -> DataFrame:
-    """component, node, shingles and counts of the rows of ``one``."""
+    """component, node, shingles, counts and fine (packed fine point) of the rows of ``one``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
@@ -259,12 +311,13 @@ def candidate_sets(docs: DataFrame, one: DataFrame, n: int) -> DataFrame:
             counts = [count_vector(s) for s in found]
             rows = pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("component", "node")],
-                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
-                ["component", "node", "shingles", "counts"])
+                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())),
+                 pa.array([packed(fine_vector(s)) for s in found], pa.binary())],
+                ["component", "node", "shingles", "counts", "fine"])
             yield rows.filter(pa.array(own, pa.bool_()))
 
     ready = docs.select("doc_id", "text").join(beside_texts(one), "doc_id").select("component", "node", "text")
-    return ready.mapInArrow(run, "component long, node long, shingles array<long>, counts array<int>")
+    return ready.mapInArrow(run, "component long, node long, shingles array<long>, counts array<int>, fine binary")
 
 
 def star_links(sets: DataFrame, stars: DataFrame, t: Threshold) -> DataFrame:
@@ -342,22 +395,27 @@ def _sides(key: tuple, table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarra
     return table, left, right, table.column("class").to_numpy()
 
 
-def partners(blocks: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
-    """component, i, j, block, node, class of the points that have a partner in a pair of blocks."""
+def partners(points: DataFrame, t: Threshold, fine: bool = False) -> DataFrame:
+    """component, i, j, block, node, class of the points that have a partner in a pair of blocks.
+
+    ``points``: these columns and counts, or size and fine.
+    """
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table, left, right, names = _sides(key, table)
         busy = np.zeros(table.num_rows, bool)
         if len(left) and len(right):
-            points = table.column("counts").combine_chunks().values.to_numpy().reshape(-1, GROUPS)
-            a = Tree(points[left])
-            b = a if key[1] == key[2] else Tree(points[right])
+            if fine:
+                vectors = [unpacked(v, n) for v, n in zip(table.column("fine").to_pylist(), table.column("size").to_pylist())]
+                a, b = [Tree.of_fine([vectors[k] for k in side]) for side in (left, right)]
+            else:
+                points = table.column("counts").combine_chunks().values.to_numpy().reshape(-1, GROUPS)
+                a, b = Tree(points[left]), Tree(points[right])
             for x, rest in near_points(a, b, names[left], names[right], t):
                 busy[left[x]] = True
                 busy[right[rest]] = True
         return table.filter(pa.array(busy)).select(["component", "i", "j", "block", "node", "class"])
 
-    return (blocks.join(beside_texts(pairs), ["component", "block"]).groupBy("component", "i", "j")
-            .applyInArrow(run, "component long, i int, j int, block int, node long, class long"))
+    return points.groupBy("component", "i", "j").applyInArrow(run, "component long, i int, j int, block int, node long, class long")
 
 
 def verified(cells: DataFrame, t: Threshold) -> DataFrame:
@@ -397,7 +455,8 @@ def links(docs: DataFrame, points: DataFrame, met: DataFrame, t: Threshold, n: i
              .join(many.select("node"), "node").select("node", F.col("most.low").alias("center")))
     near = star_links(sets.select("node", "shingles"), stars, t)
     blocks = point_blocks(sets, many, components(near))
-    busy = partners(blocks, block_pairs(blocks, t), t)
+    busy = partners(blocks.join(beside_texts(block_pairs(blocks, t)), ["component", "block"]), t)
+    busy = partners(sets.select("node", F.size("shingles").alias("size"), "fine").join(beside_texts(busy), "node"), t, fine=True)
     cells = sets.select("node", "shingles").join(beside_texts(busy), "node").select(
         "component", "i", "j", "block", "node", "class", "shingles")
     return found.union(near).union(verified(cells, t))

@@ -584,6 +584,55 @@ def test_keys_meet_for_every_linked_pair(percent):
             assert np.intersect1d(jaccard_rtree.group_keys(a, t), jaccard_rtree.group_keys(b, t)).size
 
 
+@pytest.mark.parametrize("percent", [40, 80, 90])
+def test_fine_points_lose_no_link(percent):
+    draw = np.random.default_rng(9)
+    t = jaccard_rtree.Threshold(percent / 100)
+    sets = []
+    for size in (40, 1000, 1030, 2040, 2060, 4090, 9000):
+        base = draw.integers(0, 1 << 64, size, np.uint64)
+        sets.append(np.unique(base))
+        for share in (0.01, 0.05, 0.1, 0.11, 0.12, 0.2, 0.25, 0.4):
+            gone = int(size * share)
+            sets.append(np.unique(base[gone:]))
+            sets.append(np.unique(np.append(base[gone:], draw.integers(0, 1 << 64, gone, np.uint64))))
+    sets.append(np.arange(5000, dtype=np.uint64))       # one group for all: more than a byte holds
+    sets.append(np.arange(200, 5000, dtype=np.uint64))
+    vectors = [jaccard_rtree.fine_vector(s) for s in sets]
+    assert all((jaccard_rtree.unpacked(jaccard_rtree.packed(v), len(s)) == v).all() for v, s in zip(vectors, sets))
+    tree, names = jaccard_rtree.Tree.of_fine(vectors), np.arange(len(sets))
+    near = {(x, y) for x, rest in jaccard_rtree.near_points(tree, tree, names, names, t) for y in rest.tolist()}
+    true = {(x, y) for x in range(len(sets)) for y in range(len(sets)) if x != y and jaccard_rtree.linked(sets[x], sets[y], t)}
+    assert true and true <= near
+
+
+def test_large_unrelated_sets_are_not_sent_whole(spark, monkeypatch):
+    """Texts of thousands of words that share a line meet in a cluster; only near copies of another class go on as whole sets."""
+    monkeypatch.setattr(jaccard_rtree, "BLOCK_ROWS", 7)
+    draw = random.Random(21)
+    line = " ".join(f"s{i}" for i in range(40))
+    texts = []
+    for _ in range(40):
+        base = [f"w{draw.randint(0, 99999)}" for _ in range(draw.randint(2900, 3100))]
+        texts.append(line + " " + " ".join(base))
+    for k in (3, 17):
+        copy = texts[k].split()
+        for at in draw.sample(range(40, len(copy)), 60):
+            copy[at] = f"e{at}"
+        texts.append(" ".join(copy))
+    sent, whole = [], jaccard_rtree.verified
+
+    def counting(cells, t):
+        sent.append(cells.count())
+        return whole(cells, t)
+
+    monkeypatch.setattr(jaccard_rtree, "verified", counting)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_rtree.join(docs, 0.8, 5).collect()}
+    assert [got[i] for i in range(len(texts))] == [*range(40), 3, 17] == brute_components(texts, 80, 100, 5)[0]
+    assert len(sent) == 2 and sent[1] <= 12  # 26 without fine points
+
+
 def test_jaccard_odd_rows(odd, empty):
     rows = jaccard_rtree.join(odd).collect()
     assert len(rows) == len(ODD)
