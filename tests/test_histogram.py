@@ -267,3 +267,63 @@ def test_out_of_fold_and_draws_use_shared_fits(data):
     assert train.count() == test.count() == 260 and {"ada", "bag"} <= set(train.columns)
     found = selection.cross_validate(base, df, selection.draws(df, n=3))
     assert [f["name"] for f in found] == ["ada", "bag"] and all(0.4 < f["test_mean"] <= 1 for f in found)
+
+
+FORESTS = [lambda: trees.Bagging(6, 0.5), lambda: trees.Bagging(5, max_depth=3, min_leaf=4, row_share=0.7, criterion="entropy"),
+           lambda: trees.random_forest(6), lambda: trees.ExtraTrees(6, 5), lambda: trees.ExtraTrees(4, None, 1, features=2)]
+
+
+def shape(model, v=0):
+    """Nodes of the trees of a forest as nested tuples, whatever their order."""
+    t = model.trees
+
+    def at(node):
+        here = tuple(t.counts[node].tolist())
+        if t.feature[node] < 0:
+            return here
+        return int(t.feature[node]), round(float(t.cut[node]), 9), here, at(t.left[node]), at(t.left[node] + 1)
+    return [at(root) for root in range(t.n)]
+
+
+@pytest.mark.parametrize("build", FORESTS)
+def test_trees_grown_in_a_task_are_those_grown_by_jobs(data, build, monkeypatch):
+    df = data[0]
+    subsets = [F.lit(True), F.col("id") % 3 != 0, F.col("id") < 1200]
+    whole = build().fit_many(df, subsets)
+    monkeypatch.setattr(histogram, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(histogram, "BLOCK_ROWS", 40)
+    for a, b in zip(whole, build().fit_many(df, subsets)):
+        assert shape(a) == shape(b)
+        assert a.featureImportances == pytest.approx(b.featureImportances)
+        assert predicted(a, df) == pytest.approx(predicted(b, df))
+
+
+@pytest.mark.parametrize("build", [lambda n: trees.Bagging(n, max_depth=2 * n), lambda n: trees.random_forest(n, 2 * n),
+                                   lambda n: trees.ExtraTrees(n, n)])
+def test_small_forests_take_as_many_jobs_at_any_depth(spark, data, build):
+    made = []
+    for n in (2, 12):
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        build(n).fit(data[0])
+        made.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before)
+    assert made[1] == made[0]
+
+
+def test_forest_of_all_features_equals_single_trees(data):
+    df, ids, x, y = data
+    forest = trees.random_forest(7, features="all", seed=4)
+    got = predicted(forest.fit(df), df)
+    single = [plain_tree(x, y, forest.weights(ids)[:, b].astype(float), range(4)) for b in range(7)]
+    assert got == pytest.approx([np.mean([answer(t, r) for t in single]) for r in x])
+
+
+def test_forest_draws_features_in_every_node(data):
+    df = data[0]
+    assert [histogram.RandomForest(features=f).n_features(6) for f in ("sqrt", "log2", "onethird", "all", 4, 0.3, 9)] == [3, 3, 2, 6, 4, 2, 6]
+    model = trees.random_forest(40, features=1, seed=2).fit(df)
+    used = model.trees.feature[:40]
+    assert set(used[used >= 0]) == {0, 1, 2, 3}     # one feature a root, another from tree to tree
+    first = [int(f) for f in model.trees.feature if f >= 0]
+    assert len(set(first)) == 4 and score(trees.random_forest(60).fit(df), df) > 0.9
+    again = trees.random_forest(40, features=1, seed=2).fit(df.repartition(5))
+    assert shape(model) == shape(again)             # draws follow the keys, not the partitions
