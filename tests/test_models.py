@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablesmith.models import closed_form, ensemble, inspect, linear, neighbours, selection, trees, zoo
 from tablesmith.models.base import Pinned, predict, score
 from tablesmith.operators.encode import assemble
+from tablesmith.session import durable
 
 
 @pytest.fixture(scope="module")
@@ -219,3 +220,18 @@ def test_curves_use_margins(spark):
     for build in (linear.HingeSvc(), closed_form.RidgeClassifier()):
         ranks = base.predict(build.fit(df), df, "p", ranking="r").select("r").distinct().count()
         assert ranks > 10
+
+
+def test_polynomial_svc_passes_over_a_small_table_are_one_task(spark, monkeypatch):
+    rows = [(i, float(i % 7 > 2), float(i % 7), float(i % 5)) for i in range(160)]
+    df = assemble(durable(spark.createDataFrame(rows, "id long, y double, a double, b double").repartition(8)), ["a", "b"], "id", "y")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    model = linear.polynomial_svc(2, 1.0, 20).fit(df)
+    jobs = [tracker.getJobInfo(j) for j in set(tracker.getJobIdsForGroup(None)) - before]
+    wide = [j for j in jobs if j and any((s := tracker.getStageInfo(i)) and s.numTasks > 1 for i in j.stageIds)]
+    assert len(jobs) > 10 and len(wide) <= 3      # the count alone reads all partitions
+    assert score(model, df) == 1.0
+    monkeypatch.setattr(linear, "PARTITION_BYTES", 160 * 5 * 8 // 4)
+    assert linear.in_few_parts(df, 160, 5).rdd.getNumPartitions() == 4
+    assert linear.in_few_parts(df, 10 ** 6, 5).rdd.getNumPartitions() == 8
